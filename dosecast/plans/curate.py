@@ -43,7 +43,9 @@ def read_reports(
     )
     if file_type == "subject":
         reason = F.coalesce(reason, F.when(F.col("specs").isNull(), F.lit("no_header_mapping")))
-    return parsed.withColumn("reason", reason)
+    return parsed.withColumns(
+        {"reason": reason, "records": F.when(reason.isNull(), F.col("records"))}
+    )
 
 
 def curate_reports(
