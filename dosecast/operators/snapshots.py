@@ -151,10 +151,18 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read CSV files with a header line in an explicit schema."""
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)

@@ -107,65 +107,76 @@ def classify_file(file_name: Column, by_modification: bool = False) -> Column:
 
     ``by_modification`` gives the narrower naming of the choice by modification time.
     """
-    name = F.lower(file_name)
     summary = ("subject summary",) if by_modification else ("subject summary", "participant summary")
     supply = ("supplymethod",) if by_modification else ("supplymethod", "supply method")
-    kind = (
-        F.when(_has(name, *summary), "subject")
-        .when(_has(name, "site") & _has(name, "inventory"), "site")
-        .when(_has(name, "depot") & _has(name, "inventory"), "depot")
-        .when(_has(name, "site") & _has(name, *supply), "slsm")
-        .when(_has(name, "country") & _has(name, *supply), "clsm")
-    )
-    return F.when(name.endswith(".csv"), kind)
+
+    def kind(name: Column) -> Column:
+        found = (
+            F.when(_has(name, *summary), "subject")
+            .when(_has(name, "site") & _has(name, "inventory"), "site")
+            .when(_has(name, "depot") & _has(name, "inventory"), "depot")
+            .when(_has(name, "site") & _has(name, *supply), "slsm")
+            .when(_has(name, "country") & _has(name, *supply), "clsm")
+        )
+        return F.when(name.endswith(".csv"), found)
+
+    return text.let(F.lower(file_name), kind)
+
+
+def classify_report(file_name: Column) -> Column:
+    """``struct(report_name, subreport_name)`` of a file name, null for files that are none."""
+    return text.let(F.lower(file_name), _report_of)
 
 
-def report_name(file_name: Column) -> Column:
-    """Report of a file name, null for files that are none."""
-    name = F.lower(file_name)
+def _report_of(name: Column) -> Column:
+    site, depot, country = (_has(name, w) for w in ("site", "depot", "country"))
+
+    def report(title: Column | str, part: Column | None = None) -> Column:
+        return F.struct(
+            (F.lit(title) if isinstance(title, str) else title).alias("report_name"),
+            (F.lit(None).cast("string") if part is None else part).alias("subreport_name"),
+        )
+
+    summary = (
+        F.when(~_has(name, "unblinded"), "Subject Summary")
+        .when(_has(name, "subject"), "Subject Summary (Unblinded)")
+        .otherwise("Participant Summary (Unblinded)")
+    )
     supply = _has(name, "comparator supply") | (
         _has(name, "supply method") & ~_has(name, "comparator")
     )
     kind = (
-        F.when(
-            _has(name, "subject summary", "participant summary"),
-            F.when(~_has(name, "unblinded"), "Subject Summary")
-            .when(_has(name, "subject"), "Subject Summary (Unblinded)")
-            .otherwise("Participant Summary (Unblinded)"),
+        F.when(_has(name, "subject summary", "participant summary"), report(summary))
+        .when(_has(name, "subject visit summary"), report("Subject Visit Summary"))
+        .when(
+            _has(name, "inventory summary"),
+            report(
+                "Inventory Summary (Unblinded)",
+                F.when(site, "Site Inventory Summary").when(depot, "Depot Inventory Summary"),
+            ),
         )
-        .when(_has(name, "subject visit summary"), "Subject Visit Summary")
-        .when(_has(name, "inventory summary"), "Inventory Summary (Unblinded)")
-        .when(_has(name, "inventory levels"), "Inventory Levels")
-        .when(supply, "Comparator Supply (Unblinded)")
-    )
-    return F.when(name.endswith(".csv") | name.endswith(".enc"), kind)
-
-
-def subreport_name(file_name: Column) -> Column:
-    """Sub-report of a file name, null where the report has none."""
-    name = F.lower(file_name)
-    report = report_name(file_name)
-    site, depot, country = (_has(name, w) for w in ("site", "depot", "country"))
-    return (
-        F.when(
-            report == "Inventory Summary (Unblinded)",
-            F.when(site, "Site Inventory Summary").when(depot, "Depot Inventory Summary"),
+        .when(
+            _has(name, "inventory levels"),
+            report("Inventory Levels", F.when(site, "Site").when(depot, "Depot")),
         )
-        .when(report == "Inventory Levels", F.when(site, "Site").when(depot, "Depot"))
         .when(
-            report == "Comparator Supply (Unblinded)",
-            F.when(site, "Site Level Supply Method").when(country, "Country Level Supply Method"),
+            supply,
+            report(
+                "Comparator Supply (Unblinded)",
+                F.when(site, "Site Level Supply Method").when(country, "Country Level Supply Method"),
+            ),
         )
     )
+    return F.when(name.endswith(".csv") | name.endswith(".enc"), kind)
 
 
 def target_table(report: Column, subreport: Column) -> Column:
     """Table that a report fills, "NA" for none; an empty sub-report counts as null."""
-    part = F.nullif(subreport, F.lit(""))
-    chosen = F
-    for name, sub, table in TARGET_TABLES:
-        chosen = chosen.when((report == name) & part.eqNullSafe(F.lit(sub)), table)
-    return chosen.otherwise(NO_TARGET)
+    tables = F.create_map(
+        *[F.lit(v) for name, sub, t in TARGET_TABLES for v in (f"{name}\n{sub or ''}", t)]
+    )
+    pair = F.concat(report, F.lit("\n"), F.coalesce(subreport, F.lit("")))
+    return F.coalesce(F.try_element_at(tables, pair), F.lit(NO_TARGET))
 
 
 def latest(
@@ -209,13 +220,18 @@ def latest_by_modification(
 
 def latest_reports(files: DataFrame, tie: str = "path") -> DataFrame:
     """Newest file per date, study, report and sub-report; a null sub-report is a group."""
-    found = files.withColumns(
-        {
-            "report_name": report_name(F.col("file_name")),
-            "subreport_name": subreport_name(F.col("file_name")),
-            "_time": name_timestamp(F.col("file_name"), ("csv", "enc")),
-        }
-    ).where(F.col("report_name").isNotNull())
+    found = (
+        files.withColumns(
+            {
+                "_report": classify_report(F.col("file_name")),
+                "_time": name_timestamp(F.col("file_name"), ("csv", "enc")),
+            }
+        )
+        .where(F.col("_report").isNotNull())
+        .withColumns(
+            {c: F.col("_report")[c] for c in ("report_name", "subreport_name")}
+        )
+    )
     keys = ["extract_date", "study_name", "report_name", "subreport_name"]
     return latest(found, keys, "_time", tie, ["file_name"])
 
