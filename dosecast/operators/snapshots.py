@@ -141,9 +141,16 @@ def replace_partitions(
 
 def replace_table_partitions(df: DataFrame, table: str, by: str) -> None:
     """``replace_partitions`` for an existing catalog table partitioned by ``by``."""
-    target = df.sparkSession.table(table)
-    ordered = _balanced(df.select(*target.columns), [by])
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    spark = df.sparkSession
+    ordered = _balanced(df.select(*spark.table(table).columns), [by])
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    # Inserting into a table takes the mode from the session only.
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        ordered.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def overwrite(df: DataFrame, path: str) -> None:

@@ -114,8 +114,11 @@ def decrypt_body(mode: Column, iv: Column, body: Column, key: Column) -> Column:
 
 
 def inner_base64(data: Column) -> Column:
-    """Bytes behind a second, strict base64 layer; null where there is none."""
-    text = data.cast("string")
+    """Bytes behind a second base64 layer, null where there is none.
+
+    Line breaks may wrap the layer; any other foreign sign means that the data is no base64.
+    """
+    text = F.regexp_replace(data.cast("string"), "[\\r\\n]+", "")
     strict = F.is_valid_utf8(text) & text.rlike(
         r"^(?:[A-Za-z0-9+/]{4})*+(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?+$"
     )
