@@ -18,7 +18,6 @@ from dosecast.functions import text
 from dosecast.operators.joins import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
-    is_small,
     lookup_join,
 )
 
@@ -64,11 +63,11 @@ def generic_rules(rules: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RuleSize:
-    """Measured size of the rules: rows, bytes and distinct countries."""
+    """Measured rules: rows, bytes, and the distinct countries where these are few."""
 
     rows: int
     size: int
-    places: int
+    places: tuple[str, ...] | None
 
     @property
     def small(self) -> bool:
@@ -76,15 +75,19 @@ class RuleSize:
 
 
 def measure(rules: DataFrame) -> RuleSize:
-    """One job over the rules, to choose how to join them."""
+    """Look at the rules, to choose how to join them.
+
+    One row per country comes back, and never more than ``MAX_PLACES`` of them.
+    """
     per_place = rules.groupBy(SCOPE).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
     )
-    found = per_place.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0)), F.count(SCOPE)
-    ).first()
-    return RuleSize(*found)
+    found = per_place.limit(MAX_PLACES + 1).collect()
+    if len(found) <= MAX_PLACES:
+        places = tuple(sorted(r[SCOPE] for r in found if r[SCOPE] is not None))
+        return RuleSize(sum(r["n"] for r in found), sum(r["bytes"] for r in found), places)
+    return RuleSize(*per_place.agg(F.sum("n"), F.sum("bytes")).first(), None)
 
 
 def _folded(column: str) -> str:
@@ -180,29 +183,29 @@ def _places_by_join(scoped: DataFrame, places: DataFrame) -> DataFrame:
     return held.select("stem", text.place_pattern(F.col("places")).alias("pattern"))
 
 
-def rule_base_names(rules: DataFrame, few_places: bool | None = None) -> DataFrame:
+def rule_base_names(rules: DataFrame, size: RuleSize | None = None) -> DataFrame:
     """The scoped rules with ``base_name``: the drug up to its first digit, without any of
     the rules' country names; null where no study drug is named.
 
-    ``few_places`` says that the countries of the rules fit one pattern; measured when not
-    given. Otherwise each drug gets a pattern of the countries it holds.
+    Few countries go into one pattern. Otherwise each drug gets a pattern of those it holds.
     """
+    size = size or measure(rules)
     scoped = scoped_rules(rules).withColumn("stem", text.drop_dose(F.col(DRUG)))
-    places = scoped.select(F.col(SCOPE).alias("place")).distinct()
-    if is_small(places, MAX_PLACES) if few_places is None else few_places:
-        pattern = places.agg(text.place_pattern(F.collect_set("place"))).scalar()
-        cleaned = text.drop_places(F.col("stem"), pattern)
+    if size.places is not None:
+        pattern = F.lit(text.place_alternation(size.places)).cast("string")
     else:
+        places = scoped.select(F.col(SCOPE).alias("place"))
         held = _places_by_join(scoped, places).withColumnRenamed("stem", "_stem")
         scoped = scoped.join(held, F.col("stem") == F.col("_stem"), "left")
-        cleaned = text.drop_places(F.col("stem"), F.col("pattern"))
+        pattern = F.col("pattern")
+    cleaned = text.drop_places(F.col("stem"), pattern)
     return scoped.withColumn("base_name", text.tidy_name(cleaned)).drop(
         "stem", "_stem", "pattern"
     )
 
 
 def overridden_drugs(
-    rules: DataFrame, match_null_base: bool = False, few_places: bool | None = None
+    rules: DataFrame, match_null_base: bool = False, size: RuleSize | None = None
 ) -> DataFrame:
     """Which drug of which keys is overridden in which country.
 
@@ -212,7 +215,7 @@ def overridden_drugs(
     """
     base_keys = [*FOLDED_KEYS, "base_name"]
     listed = (
-        fold_keys(rule_base_names(rules, few_places))
+        fold_keys(rule_base_names(rules, size))
         .select(*base_keys, FOLDED_SCOPE, DRUG)
         .distinct()
     )
@@ -255,10 +258,14 @@ def drop_overridden(
 ) -> DataFrame:
     """Remove the folded matched rows whose drug is overridden in the subject's country."""
     size = size or measure(rules)
-    gone = overridden_drugs(rules, match_null_base, size.places <= MAX_PLACES)
+    gone = overridden_drugs(rules, match_null_base, size)
     keys = [*FOLDED_KEYS, FOLDED_SCOPE, DRUG]
     # A drug can be gone in each country at most, so the rules bound the list.
-    small = size.small and size.rows * size.places <= BROADCAST_ROWS
+    small = (
+        size.small
+        and size.places is not None
+        and size.rows * len(size.places) <= BROADCAST_ROWS
+    )
     return lookup_join(matched, gone, keys, matched.columns, "left_anti", small or None)
 
 
