@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosecast.functions import rows as row_ops
 from dosecast.functions import text
+from dosecast.operators.joins import broadcast_if_small
 from dosecast.schemas import (
     REPORTS,
     RULE_LABELS,
@@ -17,12 +19,35 @@ from dosecast.schemas import (
     report_labels,
     report_schema,
 )
-from dosecast.sources import headers, reports
-from dosecast.sources.files import with_study_code
+from dosecast.sources import headers, lines, reports
+from dosecast.sources.files import describe_paths, with_study_code
 
 STUDY_LABEL = "Study Protocol"
 
 
+LINEAGE = ("file_name", "extract_date", "study_code")
+
+
+def _with_sheet(
+    files: DataFrame, file_type: str, header_rows: DataFrame | None, code_pattern: str
+) -> DataFrame:
+    """Files of one type with their study code and header specs."""
+    if file_type not in REPORTS:
+        raise ValueError(f"unknown file type {file_type!r}, expected one of {sorted(REPORTS)}")
+    coded = with_study_code(files, code_pattern).withColumn("file_type", F.lit(file_type))
+    return headers.with_specs(coded, header_rows)
+
+
+def _reason(file_type: str) -> Column:
+    """Why a file is rejected: no code, not readable, or a subject report without mapping."""
+    reason = F.when(F.col("study_code").isNull(), F.lit("no_study_code")).otherwise(
+        F.col("reason")
+    )
+    if file_type == "subject":
+        reason = F.coalesce(reason, F.when(F.col("specs").isNull(), F.lit("no_header_mapping")))
+    return reason
+
+
 def read_reports(
     files: DataFrame,
     file_type: str,
@@ -34,15 +59,8 @@ def read_reports(
     ``files`` has ``file_name, extract_date, content``; ``header_rows`` is the long header
     sheet, or None where there is no sheet. All files go through one plan.
     """
-    if file_type not in REPORTS:
-        raise ValueError(f"unknown file type {file_type!r}, expected one of {sorted(REPORTS)}")
-    coded = with_study_code(files, code_pattern).withColumn("file_type", F.lit(file_type))
-    parsed = reports.parse_reports(headers.with_specs(coded, header_rows))
-    reason = F.when(F.col("study_code").isNull(), F.lit("no_study_code")).otherwise(
-        F.col("reason")
-    )
-    if file_type == "subject":
-        reason = F.coalesce(reason, F.when(F.col("specs").isNull(), F.lit("no_header_mapping")))
+    parsed = reports.parse_reports(_with_sheet(files, file_type, header_rows, code_pattern))
+    reason = _reason(file_type)
     return parsed.withColumns(
         {"reason": reason, "records": F.when(reason.isNull(), F.col("records"))}
     )
@@ -56,17 +74,41 @@ def curate_reports(
     code_pattern: str = text.STUDY_CODE_PATTERN,
 ) -> tuple[DataFrame, DataFrame]:
     """Table rows of all files of one type, and the files rejected with a reason."""
-    labels = report_labels(file_type)
     parsed = read_reports(files, file_type, header_rows, code_pattern)
     rejects = reports.report_rejects(parsed).drop("specs")
-    resolved = headers.resolve_labels(parsed, labels)
-    lineage = ["file_name", "extract_date", "study_code"]
-    table = headers.harmonise(
-        reports.report_rows(resolved.select(*lineage, "header", "sources", "records", "reason")),
-        labels,
-        lineage,
+    resolved = headers.resolve_labels(parsed, report_labels(file_type))
+    read = reports.report_rows(
+        resolved.select(*LINEAGE, "header", "sources", "records", "reason")
     )
-    table = typed_extras(table, file_type)
+    return _to_table(read, file_type, processed_at), rejects
+
+
+def curate_large_reports(
+    spark: SparkSession,
+    paths: Sequence[str],
+    file_type: str,
+    header_rows: DataFrame | None = None,
+    processed_at: dt.datetime | None = None,
+    code_pattern: str = text.STUDY_CODE_PATTERN,
+) -> tuple[DataFrame, DataFrame]:
+    """``curate_reports`` for files too large for one task, read in splits from ``paths``."""
+    read, files = lines.read_large_reports(spark, paths)
+    named = describe_paths(files.withColumn("path", F.col("file")))
+    judged = _with_sheet(named, file_type, header_rows, code_pattern).withColumn(
+        "reason", _reason(file_type)
+    )
+    good = headers.resolve_labels(
+        judged.where(F.col("reason").isNull()), report_labels(file_type)
+    ).select("file", *LINEAGE, "sources")
+    rows = read.join(broadcast_if_small(good), "file")
+    rejects = judged.where(F.col("reason").isNotNull()).select(*LINEAGE, "file_type", "reason")
+    return _to_table(rows, file_type, processed_at), rejects
+
+
+def _to_table(rows: DataFrame, file_type: str, processed_at: dt.datetime | None) -> DataFrame:
+    """Rows of resolved files in the schema of their table."""
+    labels = report_labels(file_type)
+    table = typed_extras(headers.harmonise(rows, labels, LINEAGE), file_type)
     named = row_ops.rename_labels(
         table.withColumn(STUDY_LABEL, F.col("study_code")), labels
     ).withColumns(
@@ -78,7 +120,7 @@ def curate_reports(
     dated = named.withColumns(
         {c: text.first_date(F.col(c)) for c in report_date_columns(file_type)}
     )
-    return row_ops.fit_schema(dated, report_schema(file_type)), rejects
+    return row_ops.fit_schema(dated, report_schema(file_type))
 
 
 def typed_extras(table: DataFrame, file_type: str) -> DataFrame:
