@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dosecast.functions import rows as row_ops
 from dosecast.functions import text
-from dosecast.operators.joins import broadcast_if_small
+from dosecast.operators.joins import is_small
 from dosecast.schemas import (
     REPORTS,
     RULE_LABELS,
@@ -23,6 +23,7 @@ from dosecast.sources import headers, lines, reports
 from dosecast.sources.files import describe_paths, with_study_code
 
 STUDY_LABEL = "Study Protocol"
+BORN, APPROVED, COUNTRY = "Year of Birth", "Approved Countries", "Country"
 
 
 LINEAGE = ("file_name", "extract_date", "study_code")
@@ -76,11 +77,15 @@ def curate_reports(
     """Table rows of all files of one type, and the files rejected with a reason."""
     parsed = read_reports(files, file_type, header_rows, code_pattern)
     rejects = reports.report_rejects(parsed).drop("specs")
-    resolved = headers.resolve_labels(parsed, report_labels(file_type))
+    labels = report_labels(file_type)
+    resolved = headers.resolve_labels(parsed, labels)
+    if file_type == "depot":
+        resolved = headers.default_source(resolved, labels, APPROVED, COUNTRY)
     read = reports.report_rows(
         resolved.select(*LINEAGE, "header", "sources", "records", "reason")
     )
-    return _to_table(read, file_type, processed_at), rejects
+    rows = headers.harmonise(read, labels, LINEAGE)
+    return _to_table(rows, file_type, processed_at), rejects
 
 
 def curate_large_reports(
@@ -97,20 +102,27 @@ def curate_large_reports(
     judged = _with_sheet(named, file_type, header_rows, code_pattern).withColumn(
         "reason", _reason(file_type)
     )
-    good = headers.resolve_labels(
-        judged.where(F.col("reason").isNull()), report_labels(file_type)
-    ).select("file", *LINEAGE, "sources")
-    rows = read.join(broadcast_if_small(good), "file")
+    labels = report_labels(file_type)
+    good = headers.resolve_labels(judged.where(F.col("reason").isNull()), labels).select(
+        "file", *LINEAGE, "sources"
+    )
+    few = is_small(good)
+    rows = headers.harmonise(
+        read.join(F.broadcast(good) if few else good, "file"), labels, LINEAGE
+    )
+    if file_type == "depot":
+        by_file = ["extract_date", "file_name"]
+        rows = headers.default_if_all_null(rows, APPROVED, COUNTRY, by_file, few)
     rejects = judged.where(F.col("reason").isNotNull()).select(*LINEAGE, "file_type", "reason")
     return _to_table(rows, file_type, processed_at), rejects
 
 
 def _to_table(rows: DataFrame, file_type: str, processed_at: dt.datetime | None) -> DataFrame:
-    """Rows of resolved files in the schema of their table."""
-    labels = report_labels(file_type)
-    table = typed_extras(headers.harmonise(rows, labels, LINEAGE), file_type)
+    """Harmonised rows in the schema of their table."""
+    if file_type == "subject":
+        rows = rows.withColumn(BORN, text.extract_year(F.col(BORN)).cast("string"))
     named = row_ops.rename_labels(
-        table.withColumn(STUDY_LABEL, F.col("study_code")), labels
+        rows.withColumn(STUDY_LABEL, F.col("study_code")), report_labels(file_type)
     ).withColumns(
         {
             "source_file": F.col("file_name"),
@@ -123,19 +135,6 @@ def _to_table(rows: DataFrame, file_type: str, processed_at: dt.datetime | None)
     return row_ops.fit_schema(dated, report_schema(file_type))
 
 
-def typed_extras(table: DataFrame, file_type: str) -> DataFrame:
-    """Birth year of subjects; approved countries of depots, per file."""
-    if file_type == "subject":
-        return table.withColumn(
-            "Year of Birth", text.extract_year(F.col("Year of Birth")).cast("string")
-        )
-    if file_type == "depot":
-        return headers.default_if_all_null(
-            table, "Approved Countries", "Country", ["extract_date", "file_name"]
-        )
-    return table
-
-
 def curate_rules(sheet: DataFrame) -> DataFrame:
     """The rules sheet as a table: chosen columns, stripped, without empty rows, typed."""
     named = sheet.select(*[F.col("`" + l + "`").alias(c) for l, c, _ in RULE_LABELS])

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.functions import text
-from dosecast.operators.joins import broadcast_if_small
 from dosecast.schemas import STUDY_LIST_LABELS
 from dosecast.sources import files as file_ops
 
@@ -17,14 +16,15 @@ def read_study_list(sheet: DataFrame) -> DataFrame:
 
 
 def attach_files(study_list: DataFrame, newest: DataFrame) -> DataFrame:
-    """Left join of the study list to the newest report files; null sub-reports match."""
-    found = broadcast_if_small(
-        newest.select(
-            F.col("study_name").alias("_study"),
-            F.col("report_name").alias("_report"),
-            F.col("subreport_name").alias("_subreport"),
-            "file_name",
-        )
+    """Left join of the study list to the newest report files; null sub-reports match.
+
+    ``newest`` comes out of an aggregate, so Spark knows its real size when it joins.
+    """
+    found = newest.select(
+        F.col("study_name").alias("_study"),
+        F.col("report_name").alias("_report"),
+        F.col("subreport_name").alias("_subreport"),
+        "file_name",
     )
     on = (
         (F.col("study_name") == F.col("_study"))
@@ -41,12 +41,10 @@ def check_loads(status: DataFrame, members: DataFrame, tables: list[str]) -> Dat
     It does not arise without a file, a study or a target among ``tables``. ``members`` holds
     each ``(table_name, study_protocol)`` once.
     """
-    known = broadcast_if_small(
-        members.select(
-            F.col("table_name").alias("_table"),
-            F.col("study_protocol").alias("_member"),
-            F.lit(True).alias("_loaded"),
-        )
+    known = members.select(
+        F.col("table_name").alias("_table"),
+        F.col("study_protocol").alias("_member"),
+        F.lit(True).alias("_loaded"),
     )
     on = (F.col("target_table") == F.col("_table")) & (
         F.col("study_protocol") == F.col("_member")

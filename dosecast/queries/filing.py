@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
-import tempfile
 
 from pyspark.sql import functions as F
 
 from dosecast.functions import text
 from dosecast.operators import coverage, snapshots
 from dosecast.plans import status
-from dosecast.queries.fixtures import cte, frame, table
+from dosecast.queries.fixtures import cte, frame, scratch, table
 from dosecast.sources import files as file_ops
 from dosecast.sources.envelope import output_name
 
@@ -219,13 +217,6 @@ def load_check(spark, sf):
     return checked.select("listing_no", "load_successful")
 
 
-def scratch(spark, name):
-    """A new folder in the cluster's shared folder, or a local one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    tag = os.path.basename(tempfile.mktemp(prefix=f"run-{name}-"))
-    return f"{shared.rstrip('/')}/{tag}" if shared else tempfile.mkdtemp(prefix=f"run-{name}-")
-
-
 def dated(spark, sf):
     return members(spark, sf)
 

@@ -7,6 +7,8 @@ for the first study, which holds a third of all subjects.
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -149,6 +151,19 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the cluster's shared folder, or a local one where none is set.
+
+    Checkpoints need a folder too; a session without one gets it from here.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/run-{name}-{uuid.uuid4().hex}"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-checkpoints-"))
+    return tempfile.mkdtemp(prefix=f"run-{name}-")
+
+
 def cte(*names: str) -> str:
     """The same inputs as the head of a DuckDB query."""
     plain = {t: t for t in TABLES}

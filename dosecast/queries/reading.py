@@ -7,9 +7,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from dosecast.operators import snapshots
 from dosecast.plans.curate import curate_reports
-from dosecast.queries.fixtures import table
-from dosecast.sources import envelope, headers, reports
+from dosecast.queries.fixtures import scratch, table
+from dosecast.sources import envelope, headers, lines, reports
 
 DAY = dt.date(2025, 11, 6)
 STAMP = dt.datetime(2025, 11, 6, 8, 0)
@@ -21,8 +22,8 @@ def customer(spark, sf):
 
 def csv_files(spark, sf, header, line, preamble="Report,,\nRun by,,x\n"):
     """One file per fifty customers: a preamble, a header line and a line per customer."""
-    lines = customer(spark, sf).select("file_no", "c_custkey", line.alias("line"))
-    body = lines.groupBy("file_no").agg(
+    numbered = customer(spark, sf).select("file_no", "c_custkey", line.alias("line"))
+    body = numbered.groupBy("file_no").agg(
         F.array_join(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("c_custkey", "line"))), lambda x: x["line"]
@@ -58,6 +59,25 @@ def floating_header_csv(spark, sf):
     )
 
 
+def split_file_csv(spark, sf):
+    """CSV files with quoted line ends, read in splits instead of whole."""
+    folder = scratch(spark, "csv")
+    written = customer(spark, sf).select(
+        F.col("c_custkey").alias("Subject Nbr"),
+        F.concat("c_name", F.lit(' "'), "c_mktsegment", F.lit('"\nline, 2')).alias("Name"),
+        F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey")).alias("Nation"),
+    )
+    snapshots.write_csv(written, folder)
+    rows, files = lines.read_large_reports(spark, [folder])
+    named = rows.join(files.select("file", "header"), "file")
+    return named.select(
+        *[
+            reports.cell(n).alias(a)
+            for n, a in (("Subject Nbr", "subject"), ("Name", "name"), ("Nation", "nation"))
+        ]
+    )
+
+
 BROKEN_LINE = (
     "concat(cast(c_custkey as string), case when c_custkey % 50 = 17 and file_no % 4 = 1 then ',a,b' "
     "when c_custkey % 50 = 23 and file_no % 4 = 2 then ',\"a' else ',a' end)"
@@ -263,6 +283,7 @@ def sniff_type(spark, sf):
 
 QUERIES = {
     "floating_header_csv": floating_header_csv,
+    "split_file_csv": split_file_csv,
     "file_rejects": file_rejects,
     "mapping_unpivot": mapping_unpivot,
     "header_map_build": header_map_build,
@@ -312,6 +333,9 @@ ORACLES = {
     + """select file_no, row_no, cast(c_custkey % 40 as varchar) as site, concat('Nation, ', c_nationkey) as country,
       case when c_custkey % 5 <> 0 then cast(c_custkey as varchar) end as subject,
       case when c_custkey % 9 <> 0 then concat(c_name, ' "', c_mktsegment, '"', chr(10), 'line 2') end as name from c""",
+    "split_file_csv": CUSTOMER
+    + """select cast(c_custkey as varchar) as subject, concat(c_name, ' "', c_mktsegment, '"', chr(10), 'line, 2') as name,
+      case when c_custkey % 5 <> 0 then cast(c_nationkey as varchar) end as nation from c""",
     "file_rejects": CUSTOMER
     + """select distinct file_no, case file_no % 4 when 1 then 'long_row' when 2 then 'open_quote' else 'no_header' end as reason
       from c where file_no % 4 = 3 or (file_no % 4 = 1 and c_custkey % 50 = 17) or (file_no % 4 = 2 and c_custkey % 50 = 23)""",

@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.functions.text import is_blank, strip
-from dosecast.operators.joins import broadcast_if_small
+from dosecast.functions.text import is_blank, let, strip
+from dosecast.operators.joins import broadcast_if_small, is_small
+from dosecast.sources.reports import null_tokens_out
 
 LABEL = "Column Header"
 
@@ -130,6 +131,24 @@ def resolve_labels(files: DataFrame, labels: Sequence[str]) -> DataFrame:
     )
 
 
+def default_source(
+    files: DataFrame, labels: Sequence[str], label: str, fallback: str
+) -> DataFrame:
+    """Let ``label`` take the source of ``fallback`` in the resolved files where no record has
+    a value for it. Each file decides by its own records, so nothing is joined."""
+    own, other = (F.col("sources")[f"s{labels.index(l)}"] for l in (label, fallback))
+    has_value = let(
+        own,
+        lambda source: F.exists(
+            "records", lambda r: take(source, null_tokens_out(r)).isNotNull()
+        ),
+    )
+    chosen = F.when(has_value, own).otherwise(other)
+    return files.withColumn(
+        "sources", F.col("sources").withField(f"s{labels.index(label)}", chosen)
+    )
+
+
 def harmonise(rows: DataFrame, labels: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Rows of resolved files as a table with the standard labels."""
     return rows.select(
@@ -139,12 +158,13 @@ def harmonise(rows: DataFrame, labels: Sequence[str], keep: Sequence[str]) -> Da
 
 
 def default_if_all_null(
-    rows: DataFrame, column: str, fallback: str, by: Sequence[str]
+    rows: DataFrame, column: str, fallback: str, by: Sequence[str], few: bool | None = None
 ) -> DataFrame:
     """Fill ``column`` from ``fallback`` in the groups where no row has a value.
 
     The groups that have one are found by an aggregate with a partial form and joined back as
-    one row each, so a group that holds most rows stays spread over its tasks.
+    one row each, so a group that holds most rows stays spread over its tasks. ``few`` says
+    whether the groups fit a broadcast; measured when not given.
     """
     filled = (
         rows.where(F.col(_q(column)).isNotNull()).select(*by).distinct()
@@ -154,7 +174,10 @@ def default_if_all_null(
     on = F.lit(True)
     for k in by:
         on = on & F.col(_q(k)).eqNullSafe(F.col(renamed[k]))
-    joined = rows.join(broadcast_if_small(filled.withColumnsRenamed(renamed)), on, "left")
+    groups = filled.withColumnsRenamed(renamed)
+    if few is None:
+        few = is_small(groups)
+    joined = rows.join(F.broadcast(groups) if few else groups, on, "left")
     return joined.withColumn(
         column, F.when(F.col("_has_value"), F.col(_q(column))).otherwise(F.col(_q(fallback)))
     ).drop("_has_value", *renamed.values())
