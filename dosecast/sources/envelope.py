@@ -15,6 +15,8 @@ import binascii
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dosecast.functions.text import let
+
 BLOCK = 16
 # Leading bytes of the file types, in hex.
 XLSX_MAGIC = "504B0304"
@@ -39,39 +41,46 @@ def key_frame(spark: SparkSession, key_base64: str) -> DataFrame:
 
 
 def _base64(text: Column) -> Column:
-    return F.try_to_binary(F.regexp_replace(text, r"\s+", ""), F.lit("base64"))
+    """Decoded bytes, null where the text is no base64; white space does not count."""
+    tight = F.when(text.rlike(r"\s"), F.regexp_replace(text, r"\s+", "")).otherwise(text)
+    return F.try_to_binary(tight, F.lit("base64"))
 
 
 def detect_envelope(content: Column) -> Column:
     """``struct(mode, iv, body)`` of an encrypted file; ``iv`` is null for ECB."""
     text = content.cast("string")
-    is_text = F.is_valid_utf8(text)
-    colon = F.instr(text, ":")
-    iv = F.when(is_text & (colon > 0), _base64(F.substring(text, F.lit(1), colon - 1)))
-    sealed = F.when(
-        is_text,
-        _base64(F.when(colon > 0, F.substring(text, colon + 1, F.length(text))).otherwise(text)),
-    )
-    ivless = colon == 0
-    text_ok = sealed.isNotNull() & (ivless | iv.isNotNull())
-    even = F.length(content) % BLOCK == 0
-
-    def envelope(mode: str, iv_part: Column, body: Column) -> Column:
-        return F.struct(F.lit(mode).alias("mode"), iv_part.alias("iv"), body.alias("body"))
-
     none = F.lit(None).cast("binary")
-    return (
-        F.when(text_ok & ivless, envelope("ECB", none, sealed))
-        .when(text_ok, envelope("CBC", iv, sealed))
-        .when(even, envelope("ECB", none, content))
-        .otherwise(
-            envelope(
-                "CBC",
-                F.substring(content, 1, BLOCK),
-                F.substring(content, F.lit(BLOCK + 1), F.length(content)),
+
+    def envelope(mode: str, iv: Column, body: Column) -> Column:
+        return F.struct(F.lit(mode).alias("mode"), iv.alias("iv"), body.alias("body"))
+
+    def read(colon: Column) -> Column:
+        """The text envelope, null where it is none; ``colon`` is null for binary content."""
+        iv = _base64(F.substring(text, F.lit(1), colon - 1))
+        body = _base64(F.substring(text, colon + 1, F.length(text)))
+        return (
+            F.when(colon.isNull(), F.lit(None))
+            .when(colon == 0, let(_base64(text), lambda b: F.when(b.isNotNull(), envelope("ECB", none, b))))
+            .otherwise(
+                let(
+                    F.struct(iv.alias("iv"), body.alias("body")),
+                    lambda p: F.when(
+                        p["iv"].isNotNull() & p["body"].isNotNull(),
+                        envelope("CBC", p["iv"], p["body"]),
+                    ),
+                )
             )
         )
+
+    binary = F.when(F.length(content) % BLOCK == 0, envelope("ECB", none, content)).otherwise(
+        envelope(
+            "CBC",
+            F.substring(content, 1, BLOCK),
+            F.substring(content, F.lit(BLOCK + 1), F.length(content)),
+        )
     )
+    colon = F.when(F.is_valid_utf8(text), F.instr(text, ":"))
+    return F.coalesce(let(colon, read), binary)
 
 
 def _decrypt(mode: Column, iv: Column, body: Column, key: Column) -> Column:
@@ -93,24 +102,30 @@ def _padding_block(mode: Column, last_block: Column, key: Column) -> Column:
 
 def drop_trailing_zeros(data: Column) -> Column:
     """Take off zero bytes at the end; a last digit 0 of another byte stays."""
-    digits = F.hex(data)
-    zeros = F.length(digits) - F.length(F.rtrim(digits, F.lit("0")))
-    return F.substring(data, F.lit(1), F.length(data) - F.floor(zeros / 2).cast("int"))
+    digits = F.rtrim(F.hex(data), F.lit("0"))
+    return F.substring(data, F.lit(1), F.ceil(F.length(digits) / 2).cast("int"))
 
 
-def decrypt_body(mode: Column, iv: Column, body: Column, key: Column) -> Column:
-    """Plain bytes: padding taken off, or trailing zeros where the padding is not valid.
+def decrypt_body(opened: DataFrame, key: Column) -> DataFrame:
+    """Replace ``iv`` and ``body`` by the plain bytes ``plain``.
 
-    Null where the body is not made of whole blocks or the IV is not one block.
+    The padding is taken off, or trailing zeros where the padding is not valid. Null where the
+    body is not made of whole blocks or the IV is not one block.
     """
-    last = F.substring(body, -BLOCK, BLOCK)
-    raw = _decrypt(mode, iv, F.concat(body, _padding_block(mode, last, key)), key)
-    padded = _decrypt(mode, iv, body, key)
+    others = [c for c in opened.columns if c not in ("iv", "body")]
+    mode, iv, body = F.col("mode"), F.col("iv"), F.col("body")
     usable = (F.length(body) % BLOCK == 0) & ((mode == "ECB") | (F.length(iv) == BLOCK))
-    return F.when(
-        usable,
-        F.when(F.length(body) == 0, body).otherwise(F.coalesce(padded, drop_trailing_zeros(raw))),
+    padded = F.when(F.length(body) == 0, body).otherwise(_decrypt(mode, iv, body, key))
+    tried = opened.withColumns({"_usable": usable, "_padded": F.when(usable, padded)})
+    block = _padding_block(mode, F.substring(body, -BLOCK, BLOCK), key)
+    raw = _decrypt(mode, iv, F.concat(body, block), key)
+    retried = tried.select(
+        *others,
+        "_padded",
+        F.when(F.col("_usable") & F.col("_padded").isNull(), raw).alias("_raw"),
     )
+    plain = F.coalesce("_padded", drop_trailing_zeros(F.col("_raw")))
+    return retried.select(*others, plain.alias("plain"))
 
 
 def inner_base64(data: Column) -> Column:
@@ -118,11 +133,15 @@ def inner_base64(data: Column) -> Column:
 
     Line breaks may wrap the layer; any other foreign sign means that the data is no base64.
     """
-    text = F.regexp_replace(data.cast("string"), "[\\r\\n]+", "")
-    strict = F.is_valid_utf8(text) & text.rlike(
-        r"^(?:[A-Za-z0-9+/]{4})*+(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?+$"
-    )
-    return F.when(strict, F.try_to_binary(text, F.lit("base64")))
+    text = data.cast("string")
+
+    def decoded(tight: Column) -> Column:
+        whole = tight.rlike(r"^(?:[A-Za-z0-9+/]{4})*+(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?+$")
+        return F.when(whole, F.try_to_binary(tight, F.lit("base64")))
+
+    # Ordinary text ends the first test at its first space or comma.
+    possible = text.rlike(r"^[A-Za-z0-9+/=\r\n]*+\z")
+    return F.when(possible, let(F.regexp_replace(text, r"[\r\n]+", ""), decoded))
 
 
 def sniff_type(data: Column) -> Column:
@@ -155,18 +174,18 @@ def decrypt_files(files: DataFrame, key: DataFrame) -> DataFrame:
     """
     others = [c for c in files.columns if c != "content"]
     secret = key.scalar()
-    opened = files.select(*others, detect_envelope(F.col("content")).alias("_e"))
-    plain = opened.select(
-        *others,
-        F.col("_e.mode").alias("mode"),
-        decrypt_body(F.col("_e.mode"), F.col("_e.iv"), F.col("_e.body"), secret).alias("_plain"),
+    opened = files.select(*others, detect_envelope(F.col("content")).alias("_e")).select(
+        *others, "_e.*"
+    )
+    plain = decrypt_body(opened, secret)
+    decoded = plain.select(
+        *others, "mode", "plain", inner_base64(F.col("plain")).alias("_inner")
     )
-    decoded = plain.select(*others, "mode", "_plain", inner_base64(F.col("_plain")).alias("_inner"))
     final = decoded.select(
         *others,
         "mode",
         F.col("_inner").isNotNull().alias("base64_decoded"),
-        F.coalesce("_inner", "_plain").alias("content"),
+        F.coalesce("_inner", "plain").alias("content"),
     )
     typed = final.withColumn("file_type", F.when(F.col("content").isNotNull(), sniff_type(F.col("content"))))
     return typed.select(

@@ -86,29 +86,30 @@ def with_specs(files: DataFrame, long: DataFrame | None, study: str = "study_cod
     return files.join(maps, ["file_type", study], "left")
 
 
-def resolve(label: str, header: str = "header", specs: str = "specs") -> Column:
+def resolve(label: Column, header: Column, specs: Column) -> Column:
     """Where a file takes a standard label from: ``struct(fixed, places)``.
 
     ``fixed`` is the literal, ``places`` the positions (from 1) of the source columns in the
     file's header, first choice first. Worked out once per file, so a row only looks up.
     """
-    spec = F.try_element_at(F.col(specs), F.lit(label))
-    names = F.col(header)
 
     def place(name: Column) -> Column:
-        return F.array_position(names, name)
+        return F.array_position(header, name)
 
-    several = F.filter(
-        F.transform(F.split(spec, ","), lambda n: place(strip(n))), lambda p: p > 0
-    )
-    own = F.filter(F.array(place(F.lit(label))), lambda p: p > 0)
-    places = (
-        F.when(spec.contains(","), several)
-        .when(F.array_contains(names, spec), F.array(place(spec)))
-        .otherwise(own)
-    )
-    fixed = F.when(spec.contains("="), strip(F.regexp_extract(spec, "(?s)=(.*)$", 1)))
-    return F.struct(fixed.alias("fixed"), places.alias("places"))
+    def found(spec: Column) -> Column:
+        several = F.filter(
+            F.transform(F.split(spec, ","), lambda n: place(strip(n))), lambda p: p > 0
+        )
+        own = F.filter(F.array(place(label)), lambda p: p > 0)
+        places = (
+            F.when(spec.contains(","), several)
+            .when(F.array_contains(header, spec), F.array(place(spec)))
+            .otherwise(own)
+        )
+        fixed = F.when(spec.contains("="), strip(F.regexp_extract(spec, "(?s)=(.*)$", 1)))
+        return F.struct(fixed.alias("fixed"), places.alias("places"))
+
+    return let(F.try_element_at(specs, label), found)
 
 
 def take(source: Column, cells: Column) -> Column:
@@ -118,17 +119,21 @@ def take(source: Column, cells: Column) -> Column:
     def at(p: Column) -> Column:
         return F.get(cells, (p - 1).cast("int"))
 
-    first = F.get(
-        F.filter(F.transform(places, at), lambda v: v.isNotNull()), 0
-    )
+    first = F.get(F.filter(F.transform(places, at), lambda v: v.isNotNull()), 0)
     return F.coalesce(source["fixed"], at(F.get(places, 0)), F.when(F.size(places) > 1, first))
 
 
-def resolve_labels(files: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Add one struct ``sources`` with the resolution of every label, in their order."""
-    return files.withColumn(
-        "sources", F.struct(*[resolve(l).alias(f"s{i}") for i, l in enumerate(labels)])
-    )
+def resolve_labels(
+    files: DataFrame, labels: Sequence[str], header: str = "header", specs: str = "specs"
+) -> DataFrame:
+    """Add ``sources``, an array with the resolution of every label in their order."""
+    wanted = F.array(*[F.lit(l) for l in labels])
+
+    def all_of(file: Column) -> Column:
+        return F.transform(wanted, lambda l: resolve(l, file["header"], file["specs"]))
+
+    file = F.struct(F.col(header).alias("header"), F.col(specs).alias("specs"))
+    return files.withColumn("sources", let(file, all_of))
 
 
 def default_source(
@@ -136,24 +141,30 @@ def default_source(
 ) -> DataFrame:
     """Let ``label`` take the source of ``fallback`` in the resolved files where no record has
     a value for it. Each file decides by its own records, so nothing is joined."""
-    own, other = (F.col("sources")[f"s{labels.index(l)}"] for l in (label, fallback))
-    has_value = let(
-        own,
-        lambda source: F.exists(
-            "records", lambda r: take(source, null_tokens_out(r)).isNotNull()
-        ),
-    )
-    chosen = F.when(has_value, own).otherwise(other)
-    return files.withColumn(
-        "sources", F.col("sources").withField(f"s{labels.index(label)}", chosen)
-    )
+    own, other = labels.index(label), labels.index(fallback)
+
+    def chosen(sources: Column) -> Column:
+        has_value = F.exists(
+            "records", lambda r: take(sources[own], null_tokens_out(r)).isNotNull()
+        )
+        return F.when(has_value, sources).otherwise(
+            F.transform(
+                sources, lambda s, i: F.when(i == own, sources[other]).otherwise(s)
+            )
+        )
+
+    return files.withColumn("sources", let(F.col("sources"), chosen))
 
 
 def harmonise(rows: DataFrame, labels: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Rows of resolved files as a table with the standard labels."""
-    return rows.select(
-        *keep,
-        *[take(F.col("sources")[f"s{i}"], F.col("cells")).alias(l) for i, l in enumerate(labels)],
+
+    def values(cells: Column) -> Column:
+        return F.transform("sources", lambda source: take(source, cells))
+
+    taken = rows.select(*keep, let(F.col("cells"), values).alias("_values"))
+    return taken.select(
+        *keep, *[F.get("_values", F.lit(i)).alias(l) for i, l in enumerate(labels)]
     )
 
 
