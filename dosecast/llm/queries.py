@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dosecast.llm import mixing, sharding, urlrules, warc
+from dosecast.llm import bagminhash, decontaminate, mixing, sharding, urlrules, warc
 from dosecast.llm.common import ROWS_PER_BUCKET, table
 
 TREE = sharding.even_tree(regions=2, racks=2, shards=2)
@@ -20,6 +21,25 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op6_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.benchmark_hits(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10
+    )
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op7_bag_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size")
+
+
 def op9_page_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(table(spark, sf_dir, "pages"), min_bytes=100)
     return warc.archived_pages(warc.read_archive(spark, archive))
@@ -89,6 +109,8 @@ FROM c"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op5_url_rules": op5_url_rules,
+    "op6_benchmark_passages": op6_benchmark_passages,
+    "op7_bag_min_hash": op7_bag_min_hash,
     "op9_page_archive": op9_page_archive,
     "op10_hash_tree_shards": op10_hash_tree_shards,
 }
@@ -107,7 +129,38 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id IS DISTINCT FROM first_page THEN first_page END AS refers_to
 FROM f"""
 
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PASSAGES_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, doc_id, regexp_extract_all({LOWER}, '{WORDS}') AS ws FROM documents
+), i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER}, '{WORDS}') AS ws
+  FROM benchmark WHERE item_id IS NOT NULL
+), iw AS (
+  SELECT DISTINCT item, least(10, len(ws)) AS k,
+    array_to_string(list_slice(ws, s, s + least(10, len(ws)) - 1), ' ') AS win
+  FROM (SELECT *, unnest(generate_series(1, greatest(1, len(ws) - 9))) AS s FROM i WHERE len(ws) > 0)
+), dw AS (
+  SELECT n, k, s, array_to_string(list_slice(ws, s, s + k - 1), ' ') AS win
+  FROM (SELECT *, unnest(generate_series(1, len(ws) - k + 1)) AS s
+        FROM d, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k)
+), hits AS (
+  SELECT DISTINCT n, s, dw.k, item FROM dw JOIN iw ON dw.win = iw.win AND dw.k = iw.k
+), hit_words AS (
+  SELECT n, count(DISTINCT p) AS n_hit FROM (SELECT n, unnest(generate_series(s, s + k - 1)) AS p FROM hits)
+  GROUP BY n
+), hit_items AS (
+  SELECT n, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+  FROM hits GROUP BY n
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (n) LEFT JOIN hit_items USING (n)"""
+
 ORACLES: dict[str, str] = {
+    "op6_benchmark_passages": PASSAGES_SQL,
     "op9_page_archive": ARCHIVE_SQL,
     "op10_hash_tree_shards": _shard_sql(),
 }

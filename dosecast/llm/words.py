@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pyarrow as pa
 
 # Fixed by the contract: a word is a run of [^\x00-\x2F\x3A-\x60\x7B-\x7F] after lower-casing A-Z.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -72,7 +71,16 @@ def batch_bytes(texts: Iterable[str | None], keep: bytes = WORDS_ONLY) -> tuple[
 
 def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, and the number of the first word of each text (one
-    more entry at the end)."""
+    more entry at the end). Memory beyond the result is bounded by the longest text."""
+    parts = [_word_hashes(texts[a:b]) for a, b in slices(texts)]
+    first = np.zeros(len(texts) + 1, np.int64)
+    if not parts:
+        return np.zeros(0, np.uint64), first
+    np.cumsum(np.concatenate([np.diff(f) for _, f in parts]), out=first[1:])
+    return np.concatenate([h for h, _ in parts]), first
+
+
+def _word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     data, starts = batch_bytes(texts)
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = data != 32
@@ -108,7 +116,3 @@ def codes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum([len(p) for p in parts], out=starts[1:])
     joined = "".join(parts).encode("utf-32-le", "surrogatepass")
     return np.frombuffer(joined, np.uint32), starts
-
-
-def column(values, kind: pa.DataType) -> pa.Array:
-    return pa.array(values, type=kind)
