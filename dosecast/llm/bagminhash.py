@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.llm import words
-from dosecast.llm.common import materialise
+from dosecast.llm.common import materialise, ship
 from dosecast.llm.components import components
 
 OWNERS = 20  # bits; slices of texts hold fewer documents than that
@@ -246,6 +246,7 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     fewer than five words are one run of all of them. A text without words, null included, is a
     class of its own with its own ``doc_id``. Nodes are 64-bit hashes of the texts.
     """
+    ship(docs.sparkSession)
     node = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
     rows = docs.drop("class_id", "class_size").withColumn("_node", node)
     texts = docs.select(node.alias("node"), "text").where("node IS NOT NULL")

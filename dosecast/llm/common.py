@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this subpackage, once per application, wherever the driver found
+    it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        here = Path(__file__).parent
+        path = Path(tempfile.mkdtemp(prefix="dosecast-")) / "dosecast_llm.zip"
+        with zipfile.ZipFile(path, "w") as out:
+            for source in (here.parent / "__init__.py", *sorted(here.glob("*.py"))):
+                out.write(source, source.relative_to(here.parent.parent))
+        context.addPyFile(str(path))
+        _shipped.add(context.applicationId)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or below
     the session's checkpoint folder or warehouse where that is not set."""

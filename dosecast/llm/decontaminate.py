@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.llm import words
-from dosecast.llm.common import materialise
+from dosecast.llm.common import materialise, ship
 
 # Phrases per round, and so at most some 10 MB of broadcast.
 PHRASES_PER_ROUND = 100_000
@@ -257,6 +257,7 @@ def benchmark_hits(
     A null or empty text has no words and no hits; repeated rows are answered each by itself;
     without items, or without documents, nothing is hit. Items with a null id are left out.
     """
+    ship(docs.sparkSession)
     found = materialise(windows(items, width))
     rounds = max(1, -(-found.count() // PHRASES_PER_ROUND))
     first = phrase_round(found, rounds, 0) or Phrases(np.zeros(0, np.int64), np.zeros(1, np.int64), [], [])

@@ -69,10 +69,13 @@ def batch_bytes(texts: Iterable[str | None], keep: bytes = WORDS_ONLY) -> tuple[
     return np.frombuffer(joined, np.uint8), starts
 
 
-def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, and the number of the first word of each text (one
-    more entry at the end). Memory beyond the result is bounded by the longest text."""
-    parts = [_word_hashes(texts[a:b]) for a, b in slices(texts)]
+def word_hashes(
+    texts: Sequence[str | None], prefix: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, or of their first ``prefix`` bytes, and the number of
+    the first word of each text (one more entry at the end). Memory beyond the result is
+    bounded by the longest text."""
+    parts = [_word_hashes(texts[a:b], prefix) for a, b in slices(texts)]
     first = np.zeros(len(texts) + 1, np.int64)
     if not parts:
         return np.zeros(0, np.uint64), first
@@ -80,7 +83,9 @@ def word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([h for h, _ in parts]), first
 
 
-def _word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def _word_hashes(
+    texts: Sequence[str | None], prefix: int | None
+) -> tuple[np.ndarray, np.ndarray]:
     data, starts = batch_bytes(texts)
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = data != 32
@@ -89,6 +94,8 @@ def _word_hashes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64, out=sums[1:])
+    if prefix is not None:
+        end = np.minimum(end, begin + prefix)
     hashes = mix64((sums[end] - sums[begin]) * down[begin])
     return hashes, np.searchsorted(begin, starts)
 
@@ -109,10 +116,40 @@ def shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndar
     return out, owner
 
 
-def codes(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts, lowered, with a space before and after each; text starts."""
-    parts = [f" {t.lower()} " if t else "  " for t in texts]
+def code_points(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, with a space before and after each; where each starts."""
+    parts = [f" {t} " if t else "  " for t in texts]
     starts = np.zeros(len(parts) + 1, np.int64)
     np.cumsum([len(p) for p in parts], out=starts[1:])
     joined = "".join(parts).encode("utf-32-le", "surrogatepass")
     return np.frombuffer(joined, np.uint32), starts
+
+
+def ngrams(points: np.ndarray, starts: np.ndarray, sizes: Sequence[int], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of n-grams hashed to ``bits`` bits: text, feature and count, by text."""
+    n = len(starts) - 1
+    owner = np.repeat(np.arange(n), np.diff(starts)).astype(np.uint64) << np.uint64(bits)
+    keys, x = [], points.astype(np.uint64)
+    gram = np.zeros(len(x), np.uint64)
+    for size in range(1, max(sizes) + 1):
+        if len(x) < size:
+            break
+        gram = gram[: len(x) - size + 1] * BASE + x[size - 1 :]
+        if size in sizes:
+            inside = owner[: len(gram)] == owner[size - 1 :]
+            feature = mix64(gram + np.uint64(size)) >> np.uint64(64 - bits)
+            keys.append((owner[: len(gram)] | feature)[inside])
+    return counted(np.concatenate(keys) if keys else np.zeros(0, np.uint64), bits)
+
+
+def counted(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, feature and count from keys of text and feature, the latter of ``bits`` bits."""
+    keys = np.sort(keys)
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    count = np.diff(np.r_[at, len(keys)])
+    keys = keys[at]
+    return (
+        (keys >> np.uint64(bits)).astype(np.int64),
+        (keys & np.uint64((1 << bits) - 1)).astype(np.int64),
+        count,
+    )
