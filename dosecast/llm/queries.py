@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosecast.llm import bagminhash, decontaminate, mixing, sharding, urlrules, warc
+from dosecast.llm import (
+    bagminhash,
+    classify,
+    decontaminate,
+    language,
+    mixing,
+    neighbours,
+    quality,
+    sharding,
+    toxicity,
+    urlrules,
+    warc,
+)
 from dosecast.llm.common import ROWS_PER_BUCKET, table
 
 TREE = sharding.even_tree(regions=2, racks=2, shards=2)
@@ -17,6 +29,31 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"), mixing.Mix())
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(language.training_rows(docs))
+    held_out = F.coalesce(classify.fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out")
+    return language.identify(docs.select("doc_id", held_out, "text"), model).drop("text")
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All documents with their fold, and the labelled ones that may be learned from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(classify.fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out")
+    docs = docs.select("doc_id", held_out, "text")
+    return docs, docs.where("NOT held_out").join(labels, "doc_id")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labelled = _labelled(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(labelled)).drop("text")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labelled = _labelled(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs, labelled)).drop("text")
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +77,10 @@ def op7_bag_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size")
 
 
+def op8_means_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_page_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(table(spark, sf_dir, "pages"), min_bytes=100)
     return warc.archived_pages(warc.read_archive(spark, archive))
@@ -108,9 +149,13 @@ FROM c"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
+    "op2_language": op2_language,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_url_rules": op5_url_rules,
     "op6_benchmark_passages": op6_benchmark_passages,
     "op7_bag_min_hash": op7_bag_min_hash,
+    "op8_means_tree": op8_means_tree,
     "op9_page_archive": op9_page_archive,
     "op10_hash_tree_shards": op10_hash_tree_shards,
 }
