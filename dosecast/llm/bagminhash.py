@@ -34,6 +34,7 @@ from dosecast.llm.common import materialise, ship
 from dosecast.llm.components import components
 
 OWNERS = 20  # bits; slices of texts hold fewer documents than that
+SMALL = 128  # runs of a bag that is drawn together with others
 CHUNK = 512  # members of a bucket that one block compares with as many others
 STEP = 0xD1342543DE82EF95
 
@@ -75,10 +76,10 @@ def bags(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return key << np.uint64(OWNERS), (key >> np.uint64(64 - OWNERS)).astype(np.int64), count
 
 
-def signatures(h: np.ndarray, owner: np.ndarray, count: np.ndarray, docs: int, m: int) -> np.ndarray:
-    """The earliest point of every component, ``docs`` by ``m``; infinite for an empty bag."""
+def signatures(out: np.ndarray, h: np.ndarray, owner: np.ndarray, count: np.ndarray) -> None:
+    """Fill the rows of ``out`` of the bags' documents with the earliest point of each component."""
+    docs, m = out.shape
     weight = np.bincount(owner, count, docs)
-    out = np.full((docs, m), np.inf)
     limit = np.log(m) + 2.0
     todo = weight > 0
     while todo.any():
@@ -86,7 +87,6 @@ def signatures(h: np.ndarray, owner: np.ndarray, count: np.ndarray, docs: int, m
         _draw(out, h[rows], owner[rows], count[rows], limit / np.maximum(weight, 1))
         todo &= np.isinf(out).any(axis=1)
         limit *= 2
-    return out
 
 
 def _draw(
@@ -123,16 +123,30 @@ def _draw(
 
 def sketch(texts: list[str | None], banding: Banding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Band keys, one byte per component, and which texts have words."""
-    hashes, first = words.word_hashes(texts)
-    runs, owner = words.shingles(hashes, first, banding.width)
-    sig = signatures(*bags(runs, owner), len(texts), banding.size)
-    bits = words.mix64(sig.view(np.uint64))
-    keys = np.zeros((len(texts), banding.bands), np.uint64)
-    keys += np.array([step(b + 1) for b in range(banding.bands)])
-    parts = bits.reshape(len(texts), banding.bands, banding.rows)
-    for r in range(banding.rows):
-        keys = words.mix64(keys * words.BASE + parts[:, :, r])
-    return keys.astype(np.int64), (bits >> np.uint64(56)).astype(np.uint8), np.diff(first) > 0
+    n = len(texts)
+    sig, some, rest = np.full((n, banding.size), np.inf), np.zeros(n, bool), []
+    for a, b in words.slices(texts):
+        hashes, first = words.word_hashes(texts[a:b])
+        some[a:b] = np.diff(first) > 0
+        h, owner, count = bags(*words.shingles(hashes, first, banding.width))
+        # Small bags take many rounds of few draws, so those of all texts are drawn together.
+        small = np.bincount(owner, count, b - a)[owner] < SMALL
+        signatures(sig[a:b], h[~small], owner[~small], count[~small])
+        rest.append((h[small], owner[small] + a, count[small]))
+    if rest:
+        signatures(sig, *(np.concatenate(x) for x in zip(*rest, strict=True)))
+    keys = np.empty((n, banding.bands), np.int64)
+    marks = np.empty((n, banding.size), np.uint8)
+    salts = np.array([step(b + 1) for b in range(banding.bands)])
+    for a in range(0, n, 1024):
+        bits = words.mix64(sig[a : a + 1024].view(np.uint64))
+        marks[a : a + 1024] = bits >> np.uint64(56)
+        parts = bits.reshape(len(bits), banding.bands, banding.rows)
+        key = np.tile(salts, (len(bits), 1))
+        for r in range(banding.rows):
+            key = words.mix64(key * words.BASE + parts[:, :, r])
+        keys[a : a + 1024] = key.view(np.int64)
+    return keys, marks, some
 
 
 def signature_table(texts: DataFrame, banding: Banding) -> DataFrame:
@@ -141,17 +155,16 @@ def signature_table(texts: DataFrame, banding: Banding) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, column = batch.column("node"), batch.column("text").to_pylist()
-            for a, b in words.slices(column, words.BATCH_BYTES // 2):
-                keys, marks, some = sketch(column[a:b], banding)
-                some = np.flatnonzero(some)
-                yield pa.record_batch(
-                    [
-                        nodes.slice(a, b - a).take(pa.array(some)),
-                        pa.array(list(keys[some]), pa.list_(pa.int64())),
-                        pa.array([x.tobytes() for x in marks[some]], pa.binary()),
-                    ],
-                    ["node", "bands", "sketch"],
-                )
+            keys, marks, some = sketch(column, banding)
+            some = np.flatnonzero(some)
+            yield pa.record_batch(
+                [
+                    nodes.take(pa.array(some)),
+                    pa.array(list(keys[some]), pa.list_(pa.int64())),
+                    pa.array([x.tobytes() for x in marks[some]], pa.binary()),
+                ],
+                ["node", "bands", "sketch"],
+            )
 
     return texts.mapInArrow(run, "node long, bands array<long>, sketch binary")
 
@@ -176,7 +189,7 @@ def near_pairs(pairs: DataFrame, texts: DataFrame, banding: Banding) -> DataFram
         for batch in batches:
             left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
             sizes = [x if len(x) > len(y) else y for x, y in zip(left, right, strict=True)]
-            for a, b in words.slices(sizes, words.BATCH_BYTES // 2):
+            for a, b in words.slices(sizes):
                 near = overlaps(left[a:b], right[a:b], banding.width)
                 keep = pa.array(np.flatnonzero(near >= banding.threshold - 1e-12))
                 part = batch.slice(a, b - a)

@@ -28,7 +28,7 @@ from dosecast.llm.common import materialise, ship
 # Phrases per round, and so at most some 10 MB of broadcast.
 PHRASES_PER_ROUND = 100_000
 # Text of one block of the index, at least one document.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 INDEX = "block string, doc_row long, doc_id long, n_words long, base long, term long, positions binary"
 

@@ -29,7 +29,7 @@ LETTER = re.compile(r"[^\W\d_]")
 class Settings:
     sizes: tuple[int, ...] = (1, 2, 3)
     bits: int = 14
-    rows_per_language: int = 1500
+    rows_per_language: int = 1000
     learner: classify.Proximal = classify.Proximal(alpha=0.3, l1=0.2, l2=0.2, epochs=3)
     held_back: float = 0.2  # of the sample, for the temperature
 

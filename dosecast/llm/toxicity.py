@@ -44,7 +44,7 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
 class Settings:
     bits: int = 18
     prefixes: tuple[int | None, ...] = (None, 5)
-    rows_per_label: int = 8000
+    rows_per_label: int = 4000
     terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS
     learner: classify.Proximal = classify.Proximal(alpha=0.3, l1=1.0, l2=1.0, fair=1.0, epochs=3)
 

@@ -17,7 +17,8 @@ WORDS_ONLY = bytes(
 )
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
-BATCH_BYTES = 4 << 20
+# Text worked on at once; arrays of eight bytes for each of text, and several of them, are live.
+BATCH_BYTES = 512 << 10
 
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
@@ -26,7 +27,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE**i`` and ``BASE**-i`` modulo 2**64 for ``i < n``."""
     global _powers
     if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = max(n, BATCH_BYTES * 3 // 2)
         up, down = (np.full(size, x, np.uint64) for x in (BASE, INVERSE))
         up[0] = down[0] = 1
         _powers = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
