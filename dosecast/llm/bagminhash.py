@@ -47,13 +47,15 @@ def step(n: int) -> np.uint64:
 @dataclass(frozen=True)
 class Banding:
     """At similarity s a pair shares a band with probability ``1 - (1 - s**rows)**bands``: all
-    but 5 in a million at 0.8. Pairs whose signatures agree in less than ``screen`` of the
-    components, five deviations below the threshold, are not checked."""
+    but 5 in a million at 0.8. Members of buckets that stay mixed get ``extra`` components more;
+    pairs that agree in less than ``screen`` of them all, four deviations below the threshold,
+    are not checked."""
 
     width: int = 5
     threshold: float = 0.8
     bands: int = 40
     rows: int = 6
+    extra: int = 512
 
     @property
     def size(self) -> int:
@@ -62,7 +64,7 @@ class Banding:
     @property
     def screen(self) -> float:
         t = self.threshold
-        return t - 5 * (t * (1 - t) / self.size) ** 0.5
+        return t - 4 * (t * (1 - t) / (self.size + self.extra)) ** 0.5
 
 
 def bags(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,6 +171,31 @@ def signature_table(texts: DataFrame, banding: Banding) -> DataFrame:
     return texts.mapInArrow(run, "node long, bands array<long>, sketch binary")
 
 
+def longer_sketches(known: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame:
+    """``known`` (``node``, ``bands``, ``sketch``) with ``extra`` more components in its sketch,
+    drawn from the ``text`` of the ``node``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column, marks = batch.column("text").to_pylist(), []
+            for a, b in words.slices(column):
+                runs = words.shingles(*words.word_hashes(column[a:b]), banding.width)
+                h, owner, count = bags(*runs)
+                sig = np.full((b - a, banding.extra), np.inf)
+                signatures(sig, words.mix64(h + step(0xE71)), owner, count)
+                more = (words.mix64(sig.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+                marks += [
+                    x + y.tobytes()
+                    for x, y in zip(batch.column("sketch").slice(a, b - a).to_pylist(), more, strict=True)
+                ]
+            yield pa.record_batch(
+                [batch.column("node"), batch.column("bands"), pa.array(marks, pa.binary())],
+                ["node", "bands", "sketch"],
+            )
+
+    return known.join(texts, "node").mapInArrow(run, "node long, bands array<long>, sketch binary")
+
+
 def overlaps(left: list[str | None], right: list[str | None], width: int) -> np.ndarray:
     """The weighted Jaccard similarity of the bags of each pair of texts."""
     both = [bags(*words.shingles(*words.word_hashes(side), width)) for side in (left, right)]
@@ -208,31 +235,44 @@ def near_pairs(pairs: DataFrame, texts: DataFrame, banding: Banding) -> DataFram
 
 def agreeing(rows: DataFrame, banding: Banding) -> DataFrame:
     """Pairs ``a < b`` across components whose signatures agree enough, from rows of two
-    bounded lists ``one`` and ``two`` of members (``node``, ``root``, ``sketch``)."""
+    bounded lists ``one`` and ``two`` of members (``node``, ``root``, ``sketch``, ``bands``). A
+    pair is given in the first bucket that it shares, ``key``, only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one, two in zip(batch.column("one"), batch.column("two"), strict=True):
+            lists = zip(
+                batch.column("key").to_pylist(), batch.column("one"), batch.column("two"), strict=True
+            )
+            for key, one, two in lists:
                 sides = []
                 for members in (one, two):
                     m = members.values
                     marks = np.frombuffer(b"".join(m.field("sketch").to_pylist()), np.uint8)
+                    bands = m.field("bands").flatten().to_numpy()
                     sides.append(
-                        (m.field("node").to_numpy(), m.field("root").to_numpy(), marks.reshape(len(m), -1))
+                        (
+                            m.field("node").to_numpy(),
+                            m.field("root").to_numpy(),
+                            marks.reshape(len(m), -1),
+                            bands.reshape(len(m), -1),
+                        )
                     )
-                (n1, r1, s1), (n2, r2, s2) = sides
+                (n1, r1, s1, b1), (n2, r2, s2, b2) = sides
                 a, b = [], []
                 for i in range(len(n1)):
                     other = np.flatnonzero((r2 != r1[i]) & (n2 > n1[i]))
-                    share = (s2[other] == s1[i]).mean(axis=1) if len(other) else other
-                    close = other[share >= banding.screen]
-                    a.append(np.full(len(close), n1[i]))
-                    b.append(n2[close])
+                    if len(other):
+                        other = other[(s2[other] == s1[i]).mean(axis=1) >= banding.screen]
+                    if len(other):
+                        first = (b2[other] == b1[i]).argmax(axis=1)
+                        other = other[b2[other, first] == key]
+                    a.append(np.full(len(other), n1[i]))
+                    b.append(n2[other])
                 yield pa.record_batch(
                     [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (a, b)], ["a", "b"]
                 )
 
-    return rows.select("one", "two").mapInArrow(run, "a long, b long")
+    return rows.select("key", "one", "two").mapInArrow(run, "a long, b long")
 
 
 def block_pairs(members: DataFrame) -> DataFrame:
@@ -243,7 +283,7 @@ def block_pairs(members: DataFrame) -> DataFrame:
         members.withColumn("chunks", F.expr(f"int((bucket + {CHUNK - 1}) div {CHUNK})"))
         .withColumn("chunk", chunk.cast("int"))
         .groupBy("key", "chunk", "chunks")
-        .agg(F.collect_list(F.struct("node", "root", "sketch")).alias("one"))
+        .agg(F.collect_list(F.struct("node", "root", "sketch", "bands")).alias("one"))
     )
     offers = cut.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
     return offers.join(
@@ -286,7 +326,7 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     )
     members = materialise(members.join(centres, "key"))
     known = materialise(
-        signed.join(members.select("node").distinct(), "node").select("node", "sketch").dropDuplicates(["node"])
+        signed.join(members.select("node").distinct(), "node").dropDuplicates(["node"])
     )
     own_texts = materialise(
         texts.join(known.select("node"), "node").dropDuplicates(["node"])
@@ -310,9 +350,13 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
         .where("low < high")
         .select("key")
     )
-    mixed = labelled.join(open_buckets, "key").join(known, "node")
-    rest = agreeing(block_pairs(mixed.select("key", "bucket", "node", "root", "sketch")), banding)
-    rest = materialise(rest.distinct().join(star, ["a", "b"], "left_anti"))
+    mixed = materialise(labelled.join(open_buckets, "key"))
+    longer = materialise(
+        longer_sketches(known.join(mixed.select("node").distinct(), "node"), own_texts, banding)
+    )
+    mixed = mixed.join(longer, "node")
+    rest = agreeing(block_pairs(mixed.select("key", "bucket", "node", "root", "sketch", "bands")), banding)
+    rest = materialise(rest.join(star, ["a", "b"], "left_anti"))
     more = materialise(near_pairs(rest, own_texts, banding).select("a", "b"))
     # Roots stand for their members from here on.
     contracted = more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
