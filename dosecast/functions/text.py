@@ -1,7 +1,7 @@
 """Column functions for report text: codes, dates, visit labels, drug names.
 
-Every function takes and returns a ``Column`` built from Spark's own expressions, so a
-projection of them stays inside one code-generated stage.
+Every function takes and returns a ``Column`` built from Spark's own expressions. ``let`` and
+the list functions use higher-order functions, which leave generated code for their own part.
 """
 
 from __future__ import annotations
@@ -173,12 +173,6 @@ def place_pattern(places: Column) -> Column:
     return F.nullif(F.array_join(quoted, "|"), F.lit(""))
 
 
-def place_alternation(places: Sequence[str]) -> str | None:
-    """The same pattern from names that the driver holds."""
-    named = sorted({p for p in places if p.strip()}, key=lambda p: (-len(p), p))
-    return "|".join(rf"\Q{p}\E" for p in named) or None
-
-
 def drop_places(text: Column, pattern: Column) -> Column:
     """Remove the whole-word place names of a ``place_pattern``, in any case, with one hyphen
     beside them; a null pattern changes nothing."""

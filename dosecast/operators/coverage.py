@@ -26,11 +26,14 @@ def coverage(sets: Mapping[str, DataFrame]) -> DataFrame:
         tagged.groupBy("member", null_set.alias("null_set"))
         .agg(
             *[
-                F.max(F.when(F.col("set") == name, F.col("member"))).alias(name)
-                for name in sets
+                # A boolean keeps the aggregate a hash aggregate; the member is the key.
+                F.max(F.col("set") == name).alias(f"in_{i}")
+                for i, name in enumerate(sets)
             ]
         )
-        .select(*sets)
+        .select(
+            *[F.when(F.col(f"in_{i}"), F.col("member")).alias(n) for i, n in enumerate(sets)]
+        )
     )
 
 

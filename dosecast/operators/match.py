@@ -27,9 +27,6 @@ DRUG = "study_drug_dispensed"
 NORMALISED = ("study_protocol", "randomized_treatment", "tpc", "country")
 NORMALISED_RULES = (*NORMALISED, "study_drug_dispensed", "additional_study_drug_dispensed")
 
-# More distinct countries than this do not go into one pattern.
-MAX_PLACES = 1_000
-
 # The statuses of subjects who have left treatment.
 EXCLUDED_STATUSES = (
     "Screen Failed",
@@ -63,11 +60,11 @@ def generic_rules(rules: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RuleSize:
-    """Measured rules: rows, bytes, and the distinct countries where these are few."""
+    """Measured rules: rows, bytes and distinct countries."""
 
     rows: int
     size: int
-    places: tuple[str, ...] | None
+    places: int
 
     @property
     def small(self) -> bool:
@@ -75,19 +72,9 @@ class RuleSize:
 
 
 def measure(rules: DataFrame) -> RuleSize:
-    """Look at the rules, to choose how to join them.
-
-    One row per country comes back, and never more than ``MAX_PLACES`` of them.
-    """
-    per_place = rules.groupBy(SCOPE).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
-    )
-    found = per_place.limit(MAX_PLACES + 1).collect()
-    if len(found) <= MAX_PLACES:
-        places = tuple(sorted(r[SCOPE] for r in found if r[SCOPE] is not None))
-        return RuleSize(sum(r["n"] for r in found), sum(r["bytes"] for r in found), places)
-    return RuleSize(*per_place.agg(F.sum("n"), F.sum("bytes")).first(), None)
+    """Look at the rules, to choose how to join them."""
+    widths = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    return RuleSize(*rules.agg(F.count(F.lit(1)), widths, F.count_distinct(SCOPE)).first())
 
 
 def _folded(column: str) -> str:
@@ -161,52 +148,24 @@ def without_scoped_match(
     return lookup_join(subjects, side, keys, subjects.columns, "left_anti", small)
 
 
-def _places_by_join(scoped: DataFrame, places: DataFrame) -> DataFrame:
-    """Distinct stems with the pattern of the places they hold ``(stem, pattern)``.
-
-    The places are found by an equality join on the stems' runs of words, so that no list of
-    all places is built anywhere.
-    """
-    words = r"(?U)\w+|\W+"
-    folded = places.select(F.lower("place").alias("place")).distinct()
-    longest = folded.agg(F.max(F.size(F.regexp_extract_all("place", F.lit(words), F.lit(0)))))
-    tokens = F.regexp_extract_all(F.lower("stem"), F.lit(words), F.lit(0))
-    runs = (
-        scoped.select("stem")
-        .distinct()
-        .select("stem", tokens.alias("tokens"), longest.scalar().alias("longest"))
-        .select("*", F.posexplode("tokens").alias("at", "token"))
-        .select("*", F.explode(F.sequence(F.lit(1), F.col("longest"))).alias("n"))
-        .select("stem", F.array_join(F.slice("tokens", F.col("at") + 1, F.col("n")), "").alias("place"))
-    )
-    held = runs.join(folded, "place").groupBy("stem").agg(F.collect_set("place").alias("places"))
-    return held.select("stem", text.place_pattern(F.col("places")).alias("pattern"))
-
-
-def rule_base_names(rules: DataFrame, size: RuleSize | None = None) -> DataFrame:
+def rule_base_names(rules: DataFrame) -> DataFrame:
     """The scoped rules with ``base_name``: the drug up to its first digit, without any of
     the rules' country names; null where no study drug is named.
 
-    Few countries go into one pattern. Otherwise each drug gets a pattern of those it holds.
+    The names form one pattern however many there are, which reaches the rules as a scalar
+    subquery.
     """
-    size = size or measure(rules)
-    scoped = scoped_rules(rules).withColumn("stem", text.drop_dose(F.col(DRUG)))
-    if size.places is not None:
-        pattern = F.lit(text.place_alternation(size.places)).cast("string")
-    else:
-        places = scoped.select(F.col(SCOPE).alias("place"))
-        held = _places_by_join(scoped, places).withColumnRenamed("stem", "_stem")
-        scoped = scoped.join(held, F.col("stem") == F.col("_stem"), "left")
-        pattern = F.col("pattern")
-    cleaned = text.drop_places(F.col("stem"), pattern)
-    return scoped.withColumn("base_name", text.tidy_name(cleaned)).drop(
-        "stem", "_stem", "pattern"
+    scoped = scoped_rules(rules)
+    pattern = scoped.agg(text.place_pattern(F.collect_set(SCOPE))).scalar()
+    cleaned = text.drop_places(text.drop_dose(F.col(DRUG)), F.col("_pattern"))
+    return (
+        scoped.withColumn("_pattern", pattern)
+        .withColumn("base_name", text.tidy_name(cleaned))
+        .drop("_pattern")
     )
 
 
-def overridden_drugs(
-    rules: DataFrame, match_null_base: bool = False, size: RuleSize | None = None
-) -> DataFrame:
+def overridden_drugs(rules: DataFrame, match_null_base: bool = False) -> DataFrame:
     """Which drug of which keys is overridden in which country.
 
     The answer depends on the rules only, so it is computed on them before any subject is
@@ -215,7 +174,7 @@ def overridden_drugs(
     """
     base_keys = [*FOLDED_KEYS, "base_name"]
     listed = (
-        fold_keys(rule_base_names(rules, size))
+        fold_keys(rule_base_names(rules))
         .select(*base_keys, FOLDED_SCOPE, DRUG)
         .distinct()
     )
@@ -258,14 +217,10 @@ def drop_overridden(
 ) -> DataFrame:
     """Remove the folded matched rows whose drug is overridden in the subject's country."""
     size = size or measure(rules)
-    gone = overridden_drugs(rules, match_null_base, size)
+    gone = overridden_drugs(rules, match_null_base)
     keys = [*FOLDED_KEYS, FOLDED_SCOPE, DRUG]
     # A drug can be gone in each country at most, so the rules bound the list.
-    small = (
-        size.small
-        and size.places is not None
-        and size.rows * len(size.places) <= BROADCAST_ROWS
-    )
+    small = size.small and size.rows * size.places <= BROADCAST_ROWS
     return lookup_join(matched, gone, keys, matched.columns, "left_anti", small or None)
 
 

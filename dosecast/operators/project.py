@@ -13,6 +13,8 @@ from dosecast.functions import text
 # Days looked ahead, and the cycle length where a rule gives none.
 HORIZON_DAYS = 1095
 DEFAULT_PERIOD = 28
+# Cycle numbers, day numbers and cycle lengths beyond this are faults of the data.
+OUT_OF_RANGE = 1_000_000
 
 
 def as_date(as_of: dt.date | Column | None) -> Column:
@@ -46,11 +48,35 @@ def first_future_day(day_one: Column, period: Column, as_of: Column) -> Column:
 
 def bad_periods(plan: DataFrame) -> DataFrame:
     """Rows that cannot be projected because the cycle length is not positive."""
-    return plan.where(period_days(F.col("dispensing_frequency_days")) <= 0).withColumn(
-        "reason", F.lit("bad_period")
+    return projection_rejects(plan).where(F.col("reason") == "bad_period")
+
+
+def reject_reason(cycle: Column, day: Column, period: Column) -> Column:
+    """Why a row cannot be projected, null where it can."""
+    return F.when(period <= 0, "bad_period").when(
+        F.greatest(cycle, day, period) > OUT_OF_RANGE, "out_of_range"
     )
 
 
+def projection_rejects(plan: DataFrame) -> DataFrame:
+    """The rows that ``project_visits`` leaves out as faulty, with the ``reason``:
+    ``bad_period`` or ``out_of_range``."""
+    cycle, day = last_visit(plan)
+    period = period_days(F.col("dispensing_frequency_days"))
+    return plan.withColumn("reason", reject_reason(cycle, day, period)).where("reason IS NOT NULL")
+
+
+def last_visit(plan: DataFrame) -> tuple[Column, Column]:
+    """Cycle and day of the last visit: the parsed columns where they exist, else the label's."""
+    label = F.col("last_study_visit_recorded")
+    cycle, day = text.parse_cycle_number(label), text.parse_cycle_day(label)
+    if "parsed_last_visit_cycle" in plan.columns:
+        cycle = F.col("parsed_last_visit_cycle")
+    if "parsed_last_visit_day" in plan.columns:
+        day = F.col("parsed_last_visit_day")
+    return cycle, day
+
+
 def project_visits(
     plan: DataFrame,
     as_of: dt.date | Column | None = None,
@@ -64,21 +90,14 @@ def project_visits(
     exist. Cycle offset -1 stands for the rest of the current cycle and 0, 1, ... for the
     cycles after it; the last offset follows from the horizon and the cap, so each row knows
     its visits without a loop. No shuffle: the rows only multiply where they are.
+
+    Rows of ``projection_rejects`` give no visits. Offsets are 64-bit and are compared with the
+    horizon before they become dates, so a large day number cannot wrap into the past.
     """
     today = as_date(as_of)
     label = F.col("last_study_visit_recorded")
-    given = set(plan.columns)
     carried = [c for c in plan.columns if c not in _PROJECTED] if carry is None else list(carry)
-    cycle = (
-        F.col("parsed_last_visit_cycle")
-        if "parsed_last_visit_cycle" in given
-        else text.parse_cycle_number(label)
-    )
-    day = (
-        F.col("parsed_last_visit_day")
-        if "parsed_last_visit_day" in given
-        else text.parse_cycle_day(label)
-    )
+    cycle, day = last_visit(plan)
     ready = (
         plan.where(
             F.col("last_study_visit_date").isNotNull() & F.col("subject_number").isNotNull()
@@ -87,39 +106,36 @@ def project_visits(
             *carried,
             label.alias("_label"),
             F.col("last_study_visit_date").cast("date").alias("_last"),
-            cycle.alias("_cycle"),
-            day.alias("_day"),
+            cycle.cast("long").alias("_cycle"),
+            day.cast("long").alias("_day"),
             visit_days(F.col("visit_days")).alias("_days"),
             period_days(F.col("dispensing_frequency_days")).alias("_period"),
-            cycle_cap(F.col("max_cycles")).alias("_cap"),
+            cycle_cap(F.col("max_cycles")).cast("long").alias("_cap"),
         )
-        .where("_period > 0")
-        .withColumn("_day_one", F.date_sub("_last", F.col("_day") - 1))
+        .where(reject_reason(F.col("_cycle"), F.col("_day"), F.col("_period")).isNull())
+        .withColumn("_day_one", F.date_sub("_last", (F.col("_day") - 1).cast("int")))
         .withColumn("_start", first_future_day(F.col("_day_one"), F.col("_period"), today))
     )
     end = F.date_add(today, horizon_days)
-    room = F.datediff(end, F.col("_start")) - (F.element_at("_days", 1) - 1)
-    last_offset = F.floor(room / F.col("_period")).cast("int")
+    first_day = F.element_at("_days", 1).cast("long")
+    room = F.datediff(end, F.col("_start")).cast("long") - (first_day - 1)
+    last_offset = F.floor(room / F.col("_period"))
     # "least" skips a null cap.
     last_offset = F.least(last_offset, F.col("_cap") - F.col("_cycle") - 1)
-    offsets = F.sequence(F.lit(-1), F.greatest(last_offset, F.lit(-1)))
+    never = F.lit(-1).cast("long")
+    offsets = F.sequence(never, F.greatest(last_offset, never))
     k = F.col("_offset")
-    date = F.date_add(
-        F.when(k < 0, F.col("_day_one")).otherwise(
-            F.date_add("_start", k * F.col("_period"))
-        ),
-        F.col("day") - 1,
-    )
+    base = F.when(k < 0, F.col("_day_one")).otherwise(F.col("_start"))
+    ahead = F.greatest(k, F.lit(0)) * F.col("_period") + F.col("day") - 1
+    date = F.date_add(base, ahead.cast("int"))
     return (
         ready.withColumn("_offset", F.explode(offsets))
         .withColumn("day", F.explode("_days"))
         .where((k >= 0) | (F.col("day") > F.col("_day")))
-        .withColumn("cycle", F.col("_cycle") + 1 + k)
+        .where(ahead <= F.datediff(end, base))
+        .withColumn("cycle", (F.col("_cycle") + 1 + k).cast("int"))
         .withColumn("predicted_next_visit_date", date)
-        .where(
-            (F.col("predicted_next_visit_date") <= end)
-            & F.coalesce(F.col("cycle") <= F.col("_cap"), F.lit(True))
-        )
+        .where(F.coalesce(F.col("cycle") <= F.col("_cap"), F.lit(True)))
         .select(
             *carried,
             text.visit_label(F.col("_label"), F.col("cycle"), F.col("day")).alias(

@@ -108,18 +108,24 @@ def name_timestamp(spark, sf):
 NEWEST = ["extract_date", "study_name", "file_type", "listing_no", "file_name"]
 
 
+def with_strays(spark, sf):
+    """The listing with files that lie directly in a date folder, so of no study."""
+    study = F.when(F.col("listing_no") % 43 != 0, F.col("study_name"))
+    return listing(spark, sf).withColumn("study_name", study)
+
+
 def latest_file_by_name(spark, sf):
-    return file_ops.latest_by_name(listing(spark, sf), keep=["listing_no", "file_name"]).select(*NEWEST)
+    return file_ops.latest_by_name(with_strays(spark, sf), keep=["listing_no", "file_name"]).select(*NEWEST)
 
 
 def latest_file_by_mtime(spark, sf):
     return file_ops.latest_by_modification(
-        listing(spark, sf), keep=["listing_no", "file_name"]
+        with_strays(spark, sf), keep=["listing_no", "file_name"]
     ).select(*NEWEST)
 
 
 def latest_report_file(spark, sf):
-    return file_ops.latest_reports(listing(spark, sf))
+    return file_ops.latest_reports(with_strays(spark, sf))
 
 
 ALLOWED = [f"Sponsor ST-{i}-{j}" for i in range(0, 9, 2) for j in range(4)]
@@ -338,10 +344,13 @@ present as (
 FILES = cte("files") + ",\n" + KNOWN
 
 
-def newest_sql(kind: str, time: str, keys: str) -> str:
+STRAY_SQL = " and listing_no % 43 <> 0"
+
+
+def newest_sql(kind: str, time: str, keys: str, strays: bool = True) -> str:
     return f"""select * from (
       select *, row_number() over (partition by {keys} order by {time} desc, listing_no) as rn
-      from subs where {kind} is not null and {time} is not null) where rn = 1"""
+      from subs where {kind} is not null and {time} is not null{STRAY_SQL if strays else ''}) where rn = 1"""
 
 
 SETS = ", ".join(
@@ -400,7 +409,7 @@ ORACLES = {
     + """select listing_no, case when listing_no % 11 <> 0 and target_table <> 'NA' then p.tab is not null end as load_successful
       from aimed a left join present p on a.target_table = p.tab and a.study_protocol = p.study_protocol""",
     "study_status": FILES
-    + f""", newest as (select * from ({newest_sql('report_name', 'any_time', 'study_name, report_name, subreport_name').replace('from subs where', "from subs where snapshot_date = (select max(snapshot_date) from files) and")})),
+    + f""", newest as (select * from ({newest_sql('report_name', 'any_time', 'study_name, report_name, subreport_name', False).replace('from subs where', "from subs where snapshot_date = (select max(snapshot_date) from files) and")})),
       listed as (select study_name, min(listing_no) as n from files group by study_name),
       st as (select cast(n * 10 + i as int) as s_no, l.study_name, 'auto' as ui_mode, t.report as report_name, t.sub as subreport_name, t.tab as target_table,
           regexp_replace(l.study_name, '^Sponsor ', '') as study_protocol from listed l cross join targets t)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dosecast.functions import rows, text
 from dosecast.operators import match, snapshots
-from dosecast.operators.project import bad_periods, project_visits
+from dosecast.operators.project import bad_periods, project_visits, projection_rejects
 from dosecast.operators.rollup import rollup_first_sum
 from dosecast.plans import demand
 from dosecast.queries.fixtures import AS_OF, HORIZON, cte, frame
@@ -78,6 +78,30 @@ def bad_period(spark, sf):
     return bad_periods(plan).select("subject_number", "reason")
 
 
+def faulty_visits(spark, sf):
+    """The visits with labels, day lists and cycle lengths that no calendar holds mixed in."""
+    number = F.col("subject_number")
+    return visits(spark, sf).withColumns(
+        {
+            "last_study_visit_recorded": F.when(number % 50 == 0, "C2147483647D1").otherwise(
+                F.col("last_study_visit_recorded")
+            ),
+            "visit_days": F.when(number % 53 == 0, "1,2147483647").otherwise(F.col("visit_days")),
+            "dispensing_frequency_days": F.when(number % 59 == 0, F.lit(0)).otherwise(
+                F.col("dispensing_frequency_days")
+            ),
+        }
+    )
+
+
+def projection_faults(spark, sf):
+    return projection_rejects(faulty_visits(spark, sf)).select("subject_number", "reason")
+
+
+def project_faulty(spark, sf):
+    return project_visits(faulty_visits(spark, sf), AS_OF, HORIZON, ["subject_number"])
+
+
 def visit_label(spark, sf):
     label = F.col("last_study_visit_recorded")
     return visits(spark, sf).select(
@@ -246,6 +270,8 @@ QUERIES = {
     "project_capped": project_capped,
     "project_defaults": project_defaults,
     "bad_period": bad_period,
+    "projection_rejects": projection_faults,
+    "project_faulty": project_faulty,
     "visit_label": visit_label,
     "scoped_match": scoped_match,
     "generic_match": generic_match,
@@ -313,6 +339,38 @@ VISITS_BARE = (
     + visit_ctes("bare")
 )
 
+# Every cycle up to the horizon is written out and filtered; no last cycle is worked out.
+FAULTY_VISITS = (
+    cte("visit_input")
+    + f""",
+f1 as (
+  select subject_number, last_study_visit_recorded as label, last_study_visit_date as last,
+    {CYCLE.format('last_study_visit_recorded')} as c0, {DAY.format('last_study_visit_recorded')} as d0,
+    case when subject_number % 53 = 0 then [1, 2147483647]
+      when len({DAYS.format('visit_days')}) = 0 then [1] else {DAYS.format('visit_days')} end as days,
+    cast(coalesce(dispensing_frequency_days, 28) as int) as per,
+    case when max_cycles >= 1 then cast(floor(max_cycles) as int) end as cap
+  from visit_input
+  where last_study_visit_date is not null and subject_number % 59 <> 0 and subject_number % 50 <> 0),
+f2 as (select *, last - (d0 - 1) as one from f1),
+ahead as (
+  select f2.*, i, one + cast(i * per as int) as start from f2,
+    (select unnest(generate_series(1, 4000)) as i) where one + cast(i * per as int) <= date '{AS_OF}' + {HORIZON}),
+later as (
+  select *, row_number() over (partition by subject_number order by i) - 1 as k from ahead
+  where start > date '{AS_OF}' or one + per >= date '{AS_OF}'),
+cycles as (
+  select subject_number, label, c0, d0, days, cap, one as start, -1 as k from f2
+  union all select subject_number, label, c0, d0, days, cap, start, k from later),
+dated as (select *, unnest(days) as day from cycles),
+visit as (
+  select *, cast(c0 + 1 + k as int) as cycle, cast(start + cast(day - 1 as int) as date) as predicted_next_visit_date,
+    {LABEL.format('label', 'cast(c0 + 1 + k as int)', 'day')} as predicted_study_visit
+  from dated where day < 1000000 and (k >= 0 or day > d0))
+select subject_number, predicted_study_visit, cycle, day, predicted_next_visit_date from visit
+where predicted_next_visit_date <= date '{AS_OF}' + {HORIZON} and (cap is null or cycle <= cap)"""
+)
+
 KEYS = ("study_protocol", "randomized_treatment", "tpc", "subject_status")
 ON_KEYS = " and ".join(f"lower(s.{k}) is not distinct from lower(r.{k})" for k in KEYS)
 
@@ -436,6 +494,10 @@ ORACLES = {
     + "select subject_number, max_cycles, predicted_study_visit, cycle, day, predicted_next_visit_date from visit where max_cycles >= 1",
     "project_defaults": VISITS_BARE
     + "select subject_number, count(*) as visits, max(predicted_next_visit_date) as last_date from visit group by subject_number",
+    "projection_rejects": cte("visit_input")
+    + "select subject_number, case when subject_number % 59 = 0 then 'bad_period' else 'out_of_range' end as reason "
+    "from visit_input where subject_number % 59 = 0 or subject_number % 50 = 0",
+    "project_faulty": FAULTY_VISITS,
     "bad_period": cte("visit_input")
     + "select subject_number, 'bad_period' as reason from visit_input where dispensing_frequency_days - 30 <= 0",
     "visit_label": cte("visit_input")

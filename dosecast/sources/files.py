@@ -182,13 +182,14 @@ def target_table(report: Column, subreport: Column) -> Column:
 def latest(
     files: DataFrame, keys: Sequence[str], time: str, tie: str, keep: Sequence[str]
 ) -> DataFrame:
-    """Per key the row of the newest ``time``; the smallest ``tie`` wins a draw.
+    """Per key the row of the newest ``time`` in a study folder; the smallest ``tie`` wins a draw.
 
     An aggregate with a partial form: a study that holds most files shrinks before the shuffle.
     """
     newest_first = F.struct(-F.unix_micros(F.col(time).cast("timestamp")), F.col(tie))
     return (
-        files.where(F.col(time).isNotNull())
+        # Files that lie outside a study folder belong to no study.
+        files.where(F.col(time).isNotNull() & F.col("study_name").isNotNull())
         .groupBy(*keys)
         .agg(F.min_by(F.struct(*keep), newest_first).alias("_file"))
         .select(*keys, *[f"_file.{c}" for c in keep])

@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 import re
-from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,22 +124,25 @@ def test_large_rules_give_the_same(spark, monkeypatch):
     s, r = ready(spark, subjects, rules)
     monkeypatch.setattr(match, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(match, "MAX_PLACES", 0)
     monkeypatch.setattr(joins, "is_small", lambda *a: False)
     assert pairs(match.match_rules(s, r, "unmatched")) == expected(subjects, rules, "unmatched")
 
 
-def test_both_base_name_paths_agree(spark):
-    _, rules = some_rows(9, 1, 200)
-    _, r = ready(spark, [], rules)
-    size = match.measure(r)
-    few = {x.rule_no: x.base_name for x in match.rule_base_names(r, size).collect()}
-    unknown = replace(size, places=None)
-    many = {x.rule_no: x.base_name for x in match.rule_base_names(r, unknown).collect()}
-    assert size.rows == 200 and len(size.places) == 4
-    places = {x[5] for x in rules if x[5] is not None}
-    assert few == many
-    assert few == {x[0]: base_of_rule(x[6], places) for x in rules if x[5] is not None}
+def test_base_names_do_not_depend_on_how_many_places_there_are(spark):
+    """The same names beside 3 and beside 3,000 countries."""
+    named = [("Foo-New-X-Zealand 10 mg", "X"), ("Bar-iſtan 5", "İstan"), ("Foo-Κύπροσ", "ΚΎΠΡΟΣ"),
+             ("Baz New-Zealand 3", "New-Zealand")]
+    schema = "rule_no int, study_drug_dispensed string, country string"
+
+    def names(extra):
+        rows = [(i, d, c) for i, (d, c) in enumerate(named)]
+        rows += [(100 + i, f"Drug{i}", f"Land{i}") for i in range(extra)]
+        found = match.rule_base_names(spark.createDataFrame(rows, schema)).where("rule_no < 100")
+        return {r.rule_no: r.base_name for r in found.collect()}
+
+    few = names(3)
+    assert few == names(3000)
+    assert few[0] == "Foo" and few[3] == "Baz"
 
 
 def test_unknown_fallback(spark):
