@@ -7,7 +7,6 @@ for the first study, which holds a third of all subjects.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -152,16 +151,17 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared folder, or a local one where none is set.
+    """A new folder in the cluster's shared folder, or below the session's warehouse where none
+    is set, so that driver and executors see the same files.
 
     Checkpoints need a folder too; a session without one gets it from here.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/run-{name}-{uuid.uuid4().hex}"
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-checkpoints-"))
-    return tempfile.mkdtemp(prefix=f"run-{name}-")
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(f"{shared}/checkpoints")
+    return f"{shared.rstrip('/')}/run-{name}-{uuid.uuid4().hex}"
 
 
 def cte(*names: str) -> str:

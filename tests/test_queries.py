@@ -6,7 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_points
-from dosecast.queries import compare
+import compare
 
 SF = "/root/testdata/sf0.001"
 # The queries of the optional corpus operators have tests of their own.
