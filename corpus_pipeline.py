@@ -31,23 +31,35 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of each class of near-duplicates that has the smallest ``doc_id``.
 
-    Of rows that share that id one stays, the smallest in its other columns. A document without
-    words, or with a null id, is compared by its row alone.
+    Of rows that share id and text one stays, the smallest in its other columns. A row with a
+    null id is in no class but those of its own text.
     """
-    classes = bagminhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = materialise(
-        classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
+    own = F.xxhash64("text").alias("_text")
+    classes = materialise(bagminhash.near_duplicates(docs.select("doc_id", "text", own)))
+    key = lambda df: df.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_t"))
+    gone = materialise(key(classes.where("doc_id <> class_id")).distinct())
+    again = materialise(key(classes.groupBy("doc_id", "_text").count().where("count > 1")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t"))
+    kept = docs.select(*docs.columns, own).join(gone, same, "left_anti")
+    once = kept.join(again, same, "left_anti").select(*docs.columns)
+    one_of = (
+        kept.join(again, same, "left_semi")
+        .groupBy("doc_id", "_text")
+        .agg(F.min(F.struct(*docs.columns)).alias("_row"))
+        .select(*[F.col("_row")[c].alias(c) for c in docs.columns])
     )
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return kept.dropDuplicates()
+    return once.unionByName(one_of)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a window of a benchmark item."""
-    hits = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
-    # The same documents by id and length, as an id may stand on several rows.
+    # Texts stand for the documents, as an id may be on rows of several texts.
+    own = F.xxhash64("text")
+    hits = decontaminate.benchmark_hits(
+        docs.select(own.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
+    )
     dirty = materialise(hits.where("n_hit > 0").select(F.col("doc_id").alias("_dirty")).distinct())
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")
+    return docs.join(dirty, own == F.col("_dirty"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
