@@ -174,9 +174,12 @@ def drawn_slots(plan: DataFrame, counts: DataFrame, mix: Mix) -> DataFrame:
     """One row per slot: ``shard``, ``source_no``, ``pass_no``, ``block`` and ``upto``, the
     words taken from the start of the block."""
     b = mix.block_words
+    # Chunks are few and small but cost much to expand. With a number given, adaptive execution
+    # does not merge them into one task by their bytes.
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = counts.withColumn(
         "chunk", F.explode(F.expr(f"sequence(from_slot, to_slot - 1, {CHUNK}L)"))
-    ).repartition("source_no", "chunk")
+    ).repartition(tasks, "source_no", "chunk")
     n_full = F.col("n_blocks") - 1
     return (
         chunks.withColumn(
