@@ -103,13 +103,22 @@ def load_summary(
 
 
 def run_summary(plan: DataFrame) -> DataFrame:
-    """Visits, subjects, drugs and date range of a plan."""
-    return plan.agg(
-        F.count(F.lit(1)).alias("total_visits"),
+    """Visits, subjects, drugs and date range of a plan.
+
+    Visits are counted per subject and drug first, so the distinct counts expand that smaller
+    result and not every visit.
+    """
+    pairs = plan.groupBy("subject_number", "drug_dispensed").agg(
+        F.count(F.lit(1)).alias("_visits"),
+        F.min("predicted_next_visit_date").alias("_first"),
+        F.max("predicted_next_visit_date").alias("_last"),
+    )
+    return pairs.agg(
+        F.coalesce(F.sum("_visits"), F.lit(0)).alias("total_visits"),
         F.countDistinct("subject_number").alias("unique_subjects"),
         F.countDistinct("drug_dispensed").alias("unique_drugs"),
-        F.min("predicted_next_visit_date").alias("first_visit_date"),
-        F.max("predicted_next_visit_date").alias("last_visit_date"),
+        F.min("_first").alias("first_visit_date"),
+        F.max("_last").alias("last_visit_date"),
     )
 
 

@@ -18,12 +18,15 @@ def read_study_list(sheet: DataFrame) -> DataFrame:
 def attach_files(study_list: DataFrame, newest: DataFrame) -> DataFrame:
     """Left join of the study list to the newest report files; null sub-reports match.
 
+    Where the list has an ``extract_date``, files of that date count only.
+
     ``newest`` comes out of an aggregate, so Spark knows its real size when it joins.
     """
     found = newest.select(
         F.col("study_name").alias("_study"),
         F.col("report_name").alias("_report"),
         F.col("subreport_name").alias("_subreport"),
+        *([F.col("extract_date").alias("_day")] if "extract_date" in study_list.columns else []),
         "file_name",
     )
     on = (
@@ -31,7 +34,9 @@ def attach_files(study_list: DataFrame, newest: DataFrame) -> DataFrame:
         & (F.col("report_name") == F.col("_report"))
         & F.col("subreport_name").eqNullSafe(F.col("_subreport"))
     )
-    return study_list.join(found, on, "left").drop("_study", "_report", "_subreport")
+    if "_day" in found.columns:
+        on = on & (F.col("extract_date") == F.col("_day"))
+    return study_list.join(found, on, "left").drop("_study", "_report", "_subreport", "_day")
 
 
 def check_loads(status: DataFrame, members: DataFrame, tables: list[str]) -> DataFrame:
@@ -66,12 +71,13 @@ def load_status(
     newest: DataFrame,
     members: DataFrame,
     tables: list[str],
-    snapshot: Column,
+    snapshot: Column | None,
     sponsor: str,
 ) -> DataFrame:
     """One row per report of the study list: its file, target table and load result.
 
-    ``newest`` holds one snapshot's newest files, ``sponsor`` is the word (a regular
+    ``newest`` holds one snapshot's newest files; without ``snapshot`` the list has the date of
+    each row and ``newest`` may hold many. ``sponsor`` is the word (a regular
     expression) that study names start with and study codes do not.
     """
     status = attach_files(study_list, newest).withColumns(
@@ -82,7 +88,9 @@ def load_status(
             "study_protocol": text.strip_prefix(F.col("study_name"), sponsor),
         }
     )
-    checked = check_loads(status, members, tables).withColumn("extract_date", snapshot)
+    checked = check_loads(status, members, tables)
+    if snapshot is not None:
+        checked = checked.withColumn("extract_date", snapshot)
     return checked.withColumn("s_no", F.col("s_no").try_cast("int"))
 
 

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from dosecast.functions import text
 from dosecast.operators import coverage, snapshots
 from dosecast.plans import status
 from dosecast.queries.fixtures import cte, frame, scratch, table
@@ -136,10 +135,8 @@ def allow_list(spark, sf):
 
 
 def aimed_at(file_name):
-    return text.let(
-        file_ops.classify_report(file_name),
-        lambda r: file_ops.target_table(r["report_name"], r["subreport_name"]),
-    )
+    report = file_ops.classify_report(file_name)
+    return file_ops.target_table(report["report_name"], report["subreport_name"])
 
 
 def target_map(spark, sf):

@@ -156,12 +156,26 @@ PLAN_COLUMNS = (
     ("extract_date", "date"),
     ("processed_timestamp", "timestamp"),
 )
+STATUS_COLUMNS = (
+    ("s_no", "int"),
+    ("study_name", "string"),
+    ("ui_mode", "string"),
+    ("report_name", "string"),
+    ("subreport_name", "string"),
+    ("file_name", "string"),
+    ("target_table", "string"),
+    ("study_protocol", "string"),
+    ("load_successful", "boolean"),
+    ("extract_date", "date"),
+)
+STATUS_TABLE = "clinical_studylist_status"
 RULES_TABLE = "clinical_treatment_groups"
 PLAN_TABLE = "clinical_demand_plan"
 
 
 _TYPES = {
     "string": T.StringType(),
+    "boolean": T.BooleanType(),
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
@@ -190,12 +204,18 @@ def report_date_columns(file_type: str) -> list[str]:
 
 RULES_SCHEMA = _schema([(c, t) for _, c, t in RULE_LABELS])
 PLAN_SCHEMA = _schema(PLAN_COLUMNS)
+STATUS_SCHEMA = _schema(STATUS_COLUMNS)
 
 
 def table_schemas() -> dict[str, tuple[T.StructType, str | None]]:
-    """Table name -> (schema, partition column) of the seven tables."""
+    """Table name -> (schema, partition column) of the eight tables."""
     curated = {table: (report_schema(ft), "extract_date") for ft, (_, table) in REPORTS.items()}
-    return {**curated, RULES_TABLE: (RULES_SCHEMA, None), PLAN_TABLE: (PLAN_SCHEMA, "study_name")}
+    return {
+        **curated,
+        RULES_TABLE: (RULES_SCHEMA, None),
+        PLAN_TABLE: (PLAN_SCHEMA, "study_name"),
+        STATUS_TABLE: (STATUS_SCHEMA, "extract_date"),
+    }
 
 
 def create_tables(spark: SparkSession, database: str, recreate: bool = False) -> None:

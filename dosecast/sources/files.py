@@ -120,12 +120,12 @@ def classify_file(file_name: Column, by_modification: bool = False) -> Column:
         )
         return F.when(name.endswith(".csv"), found)
 
-    return text.let(F.lower(file_name), kind)
+    return kind(F.lower(file_name))
 
 
 def classify_report(file_name: Column) -> Column:
     """``struct(report_name, subreport_name)`` of a file name, null for files that are none."""
-    return text.let(F.lower(file_name), _report_of)
+    return _report_of(F.lower(file_name))
 
 
 def _report_of(name: Column) -> Column:
