@@ -115,7 +115,7 @@ def landed(spark, sf):
 def curate_job(spark, sf):
     """Files of two days to the five tables and the rejects; a second run changes nothing."""
     target = scratch(spark, "curate")
-    sheet = reading.study_sheet(spark, sf, reading.specs_for_subjects()).where("file_no % 4 <> 3")
+    sheet = reading.study_sheet(spark, sf, reading.specs_for_subjects()).where("file_no % 3 <> 2")
     for _ in range(2):
         jobs.curate_snapshots(landed(spark, sf), target, {"subject": sheet}, processed_at=STAMP)
 
@@ -205,7 +205,7 @@ JOB_TABLES.append(
         REPORTS["subject"][1],
         "Subject Summary",
         f"case when file_no % 2 = 1 then coalesce({reading.LAND}, c_mktsegment) else c_mktsegment end",
-        "file_no % 4 <> 3",
+        "file_no % 3 <> 2",
     )
 )
 
@@ -219,7 +219,7 @@ def job_sql() -> str:
     ]
     parts.append(
         f"""select distinct '{jobs.REJECTS}', {reading.SQL_CODE}, 'no_header_mapping',
-        {name.format(code=reading.SQL_CODE, title='Subject Summary')} from c where file_no % 4 = 3"""
+        {name.format(code=reading.SQL_CODE, title='Subject Summary')} from c where file_no % 3 = 2"""
     )
     days = f"(values (date '{DAY}'), (date '{DAY + dt.timedelta(days=1)}')) as d(extract_date)"
     return f"{reading.CUSTOMER} select a.*, d.extract_date from ({' union all '.join(parts)}) a cross join {days}"

@@ -154,6 +154,14 @@ def scoped_override(spark, sf):
     return matched.select(*MATCHED, "rule_scope")
 
 
+def scoped_override_null_base(spark, sf):
+    """Drugs without a dose collide with scoped rules that name no study drug."""
+    matched = match.match_rules(
+        match.unfold(subjects(spark, sf)), rules(spark, sf), match_null_base=True
+    )
+    return matched.select(*MATCHED, "rule_scope")
+
+
 def with_need(spark, sf):
     return match.add_need(
         match.match_rules(match.unfold(subjects(spark, sf)), rules(spark, sf))
@@ -277,6 +285,7 @@ QUERIES = {
     "generic_match": generic_match,
     "fallback_anti": fallback_anti,
     "scoped_override": scoped_override,
+    "scoped_override_null_base": scoped_override_null_base,
     "match_union": match_union,
     "need_per_cycle": need_per_cycle,
     "choose_first": choose_first,
@@ -412,22 +421,27 @@ def key_equal(a: str, b: str) -> str:
     return " and ".join(f"lower({a}.{k}) is not distinct from lower({b}.{k})" for k in KEYS)
 
 
-def kept_ctes(rule_filter: str = "true", fallback: str = "all") -> str:
-    """CTEs that end in ``kept``: matches with overridden drugs removed."""
+def kept_ctes(
+    rule_filter: str = "true", fallback: str = "all", equals: str = "="
+) -> str:
+    """CTEs that end in ``kept``: matches with overridden drugs removed.
+
+    ``equals`` compares base names and drugs; "is not distinct from" lets nulls meet.
+    """
     only = (
         ""
         if fallback == "all"
         else f""" and (m.rule_scope = 0 or not exists (select 1 from r where r.country is not null
              and {key_equal('r', 'm')} and lower(r.country) = lower(m.country)))"""
     )
-    same = f"{key_equal('b', 'm')} and lower(b.country) = lower(m.country) and b.base_name = {BASE_MATCH.format('m.study_drug_dispensed')}"
+    same = f"{key_equal('b', 'm')} and lower(b.country) = lower(m.country) and b.base_name {equals} {BASE_MATCH.format('m.study_drug_dispensed')}"
     return (
         matched_ctes(rule_filter)
         + f""",
 kept as (
   select * from m
   where (not exists (select 1 from based b where {same})
-     or exists (select 1 from based b where {same} and b.study_drug_dispensed = m.study_drug_dispensed)){only})
+     or exists (select 1 from based b where {same} and b.study_drug_dispensed {equals} m.study_drug_dispensed)){only})
 """
     )
 
@@ -508,6 +522,8 @@ ORACLES = {
     "fallback_anti": matched_ctes()
     + f"""select {MATCHED_SQL} from m where rule_scope = 1 and not exists (
         select 1 from r where r.country is not null and {key_equal('r', 'm')} and lower(r.country) = lower(m.country))""",
+    "scoped_override_null_base": kept_ctes(equals="is not distinct from")
+    + f"select {MATCHED_SQL}, rule_scope from kept",
     "scoped_override": kept_ctes() + f"select {MATCHED_SQL}, rule_scope from kept",
     "need_per_cycle": cte("rules")
     + f"select rule_no, cast(len({DAYS.format('visit_days')}) as int) as visits, len({DAYS.format('visit_days')}) * dispensing_quantity as need from rules",

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from dosecast import schemas
 from dosecast.operators import coverage, snapshots
-from dosecast.plans import status
+from dosecast.plans import jobs, status
+from dosecast.sources import envelope
 from dosecast.sources import files as file_ops
 
 D1, D2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
@@ -171,10 +172,30 @@ def test_tables(spark):
     assert widths == {
         "clinical_subject_summary": 30, "clinical_depot_inventory": 24, "clinical_site_inventory": 26,
         "clinical_supply_method_site_level": 9, "clinical_supply_method_country_level": 7,
-        "clinical_treatment_groups": 13, "clinical_demand_plan": 16,
+        "clinical_treatment_groups": 13, "clinical_demand_plan": 16, "clinical_studylist_status": 10,
     }
     row = spark.createDataFrame([("S1", "C", "N", "M", D1, "f", dt.datetime(2025, 1, 1))], schemas.report_schema("clsm"))
     for _ in range(2):
         snapshots.replace_table_partitions(row, "trial.clinical_supply_method_country_level", "extract_date")
     snapshots.replace_table_partitions(row.withColumn("extract_date", F.lit(D2)), "trial.clinical_supply_method_country_level", "extract_date")
     assert spark.table("trial.clinical_supply_method_country_level").count() == 2
+
+
+def test_jobs_refuse_empty_input(spark, tmp_path):
+    columns = "path string, extract_date date, study_name string, file_name string, content binary"
+    none = spark.createDataFrame([], columns)
+    with pytest.raises(ValueError, match="no rows"):
+        jobs.curate_snapshots(none, str(tmp_path), {})
+    with pytest.raises(ValueError, match="no rows"):
+        jobs.decrypt_snapshots(none, envelope.key_frame(spark, "MDEyMzQ1Njc4OWFiY2RlZg=="), str(tmp_path))
+
+
+def test_snapshot_files_needs_a_date_folder(spark, tmp_path):
+    (tmp_path / "archive" / "Sponsor X").mkdir(parents=True)
+    (tmp_path / "archive" / "Sponsor X" / "a.csv").write_text("a,b\n")
+    with pytest.raises(ValueError, match="date folders"):
+        jobs.snapshot_files(spark, str(tmp_path))
+    (tmp_path / "20251106" / "Sponsor X").mkdir(parents=True)
+    (tmp_path / "20251106" / "Sponsor X" / "b.csv").write_text("a,b\n")
+    found = jobs.snapshot_files(spark, str(tmp_path)).select("file_name", "study_name").collect()
+    assert [tuple(r) for r in found] == [("b.csv", "Sponsor X")]
