@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by inner product, with a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample and every row is indexed under its leaf. A query walks the
-tree best bin first: a priority queue of branches, ordered by the inner product with their
-centres, yields leaves until enough are visited. How many are enough is calibrated: some queries
-are answered exactly against all rows, and visits widen until their recall reaches the target.
+The tree is fitted on a bounded sample, a part of the table whatever its size, and every row is
+indexed under its leaf. A query walks the tree best bin first: a priority queue of branches,
+ordered by the inner product with their centres, yields leaves until enough are visited. How many
+are enough is calibrated: some queries are answered exactly against all rows, and visits widen
+until their recall reaches the target. A query whose leaves hold fewer than k rows visits more.
 
 Rows of a leaf and the queries that visit it meet in blocks of bounded size, so a leaf of many
-rows is many small products. Only rows that beat a query's nearest sample rows are sent on. Of
-equal vectors only the first ids can be among the nearest, so the others need no place in the
-index; nothing that could be an answer is left out.
+rows is many small products. Only rows that reach a query's k-th nearest sample row of the leaves
+it visits are sent on; the answers themselves come from those leaves only. Of equal vectors only
+the first ids can be among the nearest, so the others need no place in the index; nothing of the
+visited leaves that could be an answer is left out.
 """
 
 from __future__ import annotations
@@ -31,7 +33,9 @@ SLACK = 1e-9  # between a matrix product and the exact sum, relative to the vect
 
 @dataclass(frozen=True)
 class Settings:
-    sample_rows: int = 16384
+    sample_rows: int = 2048
+    bound_rows: int = 16384  # that tell what a query's k-th nearest scores at least
+    sample_share: float = 0.25  # of the table, at most, for either
     branches: int = 8
     leaf_rows: int = 48  # of the sample
     calibration_queries: int = 200
@@ -41,13 +45,11 @@ class Settings:
 @dataclass(frozen=True)
 class Tree:
     """Node ``i`` has the centre ``centres[i]`` and the nodes ``children[i]``; without any it is
-    the leaf ``leaf[i]``. ``sample`` and ``sample_ids`` are the fitted rows."""
+    the leaf ``leaf[i]``."""
 
     centres: np.ndarray
     children: list[list[int]]
     leaf: np.ndarray
-    sample: np.ndarray
-    sample_ids: np.ndarray
 
     @property
     def leaves(self) -> int:
@@ -68,24 +70,21 @@ class Tree:
                 todo += [(kid, at[near == k]) for k, kid in enumerate(kids)]
         return out
 
-    def best_bins(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, the most promising branch always next."""
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+    def best_bins(self, query: np.ndarray, visits: int, sizes: np.ndarray, least: int) -> list[int]:
+        """The first ``visits`` leaves, the most promising branch always next, and more until
+        they hold ``least`` rows; leaf ``i`` holds ``sizes[i]``."""
+        queue, found, rows = [(0.0, 0)], [], 0
+        while queue and (len(found) < visits or rows < least):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not kids:
                 found.append(int(self.leaf[node]))
+                rows += sizes[found[-1]]
                 continue
             for score, kid in zip(self.centres[kids] @ query, kids, strict=True):
                 heapq.heappush(queue, (-score, kid))
         return found
 
-    def first_found(self, ids: np.ndarray, queries: np.ndarray, k: int):
-        """The nearest sample rows of each query: query and sample row numbers, and scores."""
-        floors = np.full(len(ids), -np.inf)
-        return best_pairs(ids, queries, self.sample_ids, self.sample, k, floors)
-
 
 def k_means(rows: np.ndarray, k: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     centres = rows[rng.choice(len(rows), min(k, len(rows)), replace=False)]
@@ -99,7 +98,7 @@ def k_means(rows: np.ndarray, k: int, rng: np.random.Generator) -> tuple[np.ndar
     return centres, near
 
 
-def fit_tree(ids: np.ndarray, rows: np.ndarray, settings: Settings) -> Tree:
+def fit_tree(rows: np.ndarray, settings: Settings) -> Tree:
     """Split by k-means until a node has few rows or all of them are alike."""
     rng = np.random.default_rng(3)
     centres, children, leaf, leaves = [rows.mean(axis=0)], [[]], [-1], 0
@@ -119,7 +118,7 @@ def fit_tree(ids: np.ndarray, rows: np.ndarray, settings: Settings) -> Tree:
             centres.append(own[k])
             children.append([])
             leaf.append(-1)
-    return Tree(np.array(centres), children, np.array(leaf), rows, ids)
+    return Tree(np.array(centres), children, np.array(leaf))
 
 
 def sound_vectors(df: DataFrame) -> DataFrame:
@@ -187,9 +186,24 @@ def best_pairs(
     return q, r, score
 
 
-def kth(scores: np.ndarray, k: int) -> float:
-    """The ``k``-th largest, below all numbers if there are fewer."""
-    return float(np.partition(scores, -k)[-k]) if len(scores) >= k else -np.inf
+def floors(
+    query_ids: np.ndarray,
+    queries: np.ndarray,
+    bins: list[list[int]],
+    sample: tuple[np.ndarray, np.ndarray, np.ndarray],
+    k: int,
+) -> np.ndarray:
+    """What the ``k``-th nearest row of each query scores at least: that of the sample rows (ids,
+    vectors, leaves) in the leaves it visits, below all numbers if they are fewer."""
+    ids, rows, leaves = sample
+    if len(ids) < k:
+        return np.full(len(queries), -np.inf)
+    near = queries @ rows.T
+    slack = SLACK * np.abs(near).max(initial=1.0)
+    near[query_ids[:, None] == ids] = -np.inf
+    for i, visited in enumerate(bins):
+        near[i, ~np.isin(leaves, visited)] = -np.inf
+    return np.partition(near, -k, axis=1)[:, -k] - slack
 
 
 def nearest(found: DataFrame, k: int) -> DataFrame:
@@ -212,7 +226,7 @@ def calibrate(tree: Tree, rows: DataFrame, queries: DataFrame, k: int, settings:
     of = truth.column("query_id").to_numpy()
     for i, query in zip(ids, vecs, strict=True):
         rank = np.zeros(tree.leaves, np.int64)
-        rank[tree.best_bins(query, tree.leaves)] = np.arange(1, tree.leaves + 1)
+        rank[tree.best_bins(query, tree.leaves, rank, 0)] = np.arange(1, tree.leaves + 1)
         place[of == i] = rank[leaves[of == i]]
     place.sort()
     return int(place[int(np.ceil(settings.recall * len(place))) - 1])
@@ -249,12 +263,11 @@ def search(
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     share = F.pmod(F.xxhash64("vec_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(share * total < settings.sample_rows).orderBy("vec_id").toArrow()
+    drawn = lambda n: share * total < min(n, settings.sample_share * total)
+    sample = rows.where(drawn(settings.sample_rows)).orderBy("vec_id").toArrow()
     if not sample.num_rows:
         sample = rows.limit(1).toArrow()
-    tree = fit_tree(
-        sample.column("vec_id").to_numpy(), matrix(sample.column("vec").combine_chunks()), settings
-    )
+    tree = fit_tree(matrix(sample.column("vec").combine_chunks()), settings)
     visits = calibrate(tree, rows, queries, k, settings)
     held = spark.sparkContext.broadcast(tree)
 
@@ -263,28 +276,30 @@ def search(
             leaf = held.value.assign(matrix(batch.column("vec")))
             yield batch.append_column("leaf", pa.array(leaf))
 
+    # One place more than k, since a query's own id takes none.
+    alike = Window.partitionBy("vec").orderBy("vec_id")
+    useful = rows.withColumn("_r", F.row_number().over(alike)).where(F.col("_r") <= k + 1).drop("_r")
+    indexed = materialise(useful.mapInArrow(index, "vec_id long, vec array<double>, leaf long"))
+    # An id on several vectors counts in one leaf, so that leaves hold no fewer ids than this says.
+    sizes = np.zeros(tree.leaves, np.int64)
+    for r in indexed.groupBy("vec_id").agg(F.min("leaf").alias("leaf")).groupBy("leaf").count().collect():
+        sizes[r["leaf"]] = r["count"]
+    seen = indexed.where(drawn(settings.bound_rows)).dropDuplicates(["vec_id"]).toArrow()
+    bounds = spark.sparkContext.broadcast(
+        (seen.column("vec_id").to_numpy(), matrix(seen.column("vec").combine_chunks()), seen.column("leaf").to_numpy())
+    )
+
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, vecs = batch.column("vec_id").to_numpy(), matrix(batch.column("vec"))
             for a in range(0, len(ids), 64):
                 part = range(a, min(a + 64, len(ids)))
-                bins = [held.value.best_bins(vecs[i], visits) for i in part]
+                bins = [held.value.best_bins(vecs[i], visits, sizes, k + 1) for i in part]
                 at = np.repeat(np.array(part), [len(x) for x in bins])
-                q, _, score = held.value.first_found(ids[a : a + 64], vecs[a : a + 64], k)
-                floors = np.array([kth(score[q == i], k) for i in range(len(part))])
+                least = floors(ids[a : a + 64], vecs[a : a + 64], bins, bounds.value, k)
                 out = batch.take(pa.array(at))
                 out = out.append_column("leaf", pa.array([x for b in bins for x in b], pa.int64()))
-                yield out.append_column("least", pa.array(floors[at - a]))
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, vecs = batch.column("vec_id").to_numpy(), matrix(batch.column("vec"))
-            for a in range(0, len(ids), 64):
-                q, r, score = held.value.first_found(ids[a : a + 64], vecs[a : a + 64], k)
-                yield pa.record_batch(
-                    [pa.array(ids[a : a + 64][q]), pa.array(held.value.sample_ids[r]), pa.array(score)],
-                    ["query_id", "vec_id", "score"],
-                )
+                yield out.append_column("least", pa.array(least[at - a]))
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,12 +319,7 @@ def search(
                     ["query_id", "vec_id", "score"],
                 )
 
-    # One place more than k, since a query's own id takes none.
-    alike = Window.partitionBy("vec").orderBy("vec_id")
-    useful = rows.withColumn("_r", F.row_number().over(alike)).where(F.col("_r") <= k + 1).drop("_r")
-    blocks = in_blocks(
-        useful.mapInArrow(index, "vec_id long, vec array<double>, leaf long"), "vec_id", "vec"
-    )
+    blocks = in_blocks(indexed, "vec_id", "vec")
     asked = in_blocks(
         queries.mapInArrow(visit, "vec_id long, vec array<double>, leaf long, least double"),
         "vec_id",
@@ -320,11 +330,9 @@ def search(
         asked.select("leaf", F.col("rows").alias("queries")), "leaf"
     )
     result = "query_id long, vec_id long, score double"
-    # What the sample holds counts as found, so a query has its k rows wherever they lie.
     found = (
         pairs.select("rows", "queries")
         .mapInArrow(product, result)
-        .unionByName(queries.mapInArrow(first, result))
         .groupBy("query_id", "vec_id")
         .agg(F.max("score").alias("score"))
     )

@@ -402,6 +402,27 @@ def test_nearest_neighbours_reach_the_recall(spark):
     assert neighbours.search(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_answers_come_from_the_visited_leaves(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = rng.standard_normal((800, 12))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    trees = []
+    monkeypatch.setattr(neighbours, "calibrate", lambda tree, *_: trees.append(tree) or 1)
+    got = neighbours.search(df, F.col("vec_id") % 20 == 0, 20, neighbours.Settings(leaf_rows=8)).collect()
+    tree, by = trees[0], defaultdict(list)
+    leaf = tree.assign(rows)
+    sizes = np.bincount(leaf, minlength=tree.leaves)
+    for r in sorted(got, key=lambda r: r.rank):
+        by[r.query_id].append(r.vec_id)
+    assert set(by) == set(range(0, 800, 20)) and tree.leaves > 20
+    for q, found in by.items():
+        inside = np.isin(leaf, tree.best_bins(rows[q], 1, sizes, 21))
+        score = np.where(inside, rows @ rows[q], -np.inf)
+        score[q] = -np.inf
+        assert found == np.lexsort((np.arange(800), -score))[:20].tolist()
+        assert inside.sum() < 400
+
+
 # --- 9: archive ----------------------------------------------------------------------------
 
 
