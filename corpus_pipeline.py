@@ -29,26 +29,28 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of each class of near-duplicates that has the smallest ``doc_id``.
+    """Keep one document of each class of near-duplicates: that with the smallest ``doc_id``,
+    null last, and of rows that share it the first by text hash and then by the other columns.
 
-    Of rows that share id and text one stays, the smallest in its other columns. A row with a
-    null id is in no class but those of its own text.
+    Of rows without words those that share id and text are a class.
     """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
     own = F.xxhash64("text").alias("_text")
-    classes = materialise(bagminhash.near_duplicates(docs.select("doc_id", "text", own)))
-    key = lambda df: df.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_t"))
-    gone = materialise(key(classes.where("doc_id <> class_id")).distinct())
-    again = materialise(key(classes.groupBy("doc_id", "_text").count().where("count > 1")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t"))
-    kept = docs.select(*docs.columns, own).join(gone, same, "left_anti")
-    once = kept.join(again, same, "left_anti").select(*docs.columns)
-    one_of = (
-        kept.join(again, same, "left_semi")
-        .groupBy("doc_id", "_text")
-        .agg(F.min(F.struct(*docs.columns)).alias("_row"))
-        .select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    # In this order; rows of equal keys are equal rows.
+    key = F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", own, *others).alias("_key")
+    classes = bagminhash.near_duplicates(docs.select("doc_id", "text", key))
+    wordless = F.when(F.col("class_key").isNull(), F.struct("_key.doc_id", "_key._text"))
+    kept = materialise(
+        classes.groupBy("class_key", wordless.alias("_own"), "_key")
+        .count()
+        .groupBy("class_key", "_own")
+        .agg(F.min(F.struct("_key", "count")).alias("_least"))
+        .select("_least.*")
     )
-    return once.unionByName(one_of)
+    keyed = docs.withColumn("_key", key)
+    once = keyed.join(kept.where("count = 1"), "_key", "left_semi")
+    again = keyed.join(kept.where("count > 1"), "_key", "left_semi").dropDuplicates(["_key"])
+    return once.unionByName(again).select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -293,7 +293,8 @@ def block_pairs(members: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:  # noqa: B008
     """``docs`` without its texts, plus ``class_id``, the smallest ``doc_id`` of the document's
-    class, and ``class_size``.
+    class, ``class_size``, and ``class_key``, which tells classes apart whatever their ids; null
+    where the text has no words.
 
     Classes are the components of the links between texts that are near (or equal). Texts of
     fewer than five words are one run of all of them. A text without words, null included, is a
@@ -301,7 +302,7 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
     """
     ship(docs.sparkSession)
     node = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
-    rows = docs.drop("class_id", "class_size").withColumn("_node", node)
+    rows = docs.drop("class_id", "class_size", "class_key").withColumn("_node", node)
     texts = docs.select(node.alias("node"), "text").where("node IS NOT NULL")
     signed = materialise(signature_table(texts, banding))
 
@@ -379,5 +380,5 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
         keyed.join(classes, "_class", "left")
         .withColumn("class_id", F.when(F.col("_class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))
         .withColumn("class_size", F.coalesce("class_size", F.lit(1).cast("long")))
-        .drop("_class")
+        .withColumnRenamed("_class", "class_key")
     )

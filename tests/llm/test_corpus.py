@@ -504,6 +504,34 @@ def test_pipeline_decides_as_brute_force(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_one_row_of_each_class_stays(spark):
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(900)}" for _ in range(150)] for _ in range(4)]
+    text = lambda k, n: " ".join(base[k] + [f"n{n}"] * (n > 0))
+    rows = [
+        (1, text(0, 0), "en", "b", 1), (None, text(0, 0), "en", "a", 1), (None, text(0, 1), "en", "a", 1),
+        (2, text(1, 0), "en", "a", 1), (2, text(1, 1), "en", "a", 1), (2, text(1, 2), "en", "a", 1),
+        (None, text(2, 0), "en", "a", 1), (None, text(2, 1), "fr", "a", 1), (None, text(2, 2), None, "a", 1),
+        (3, text(3, 0), "en", None, 1), (3, text(3, 0), "en", "a", 1), (3, text(3, 0), "en", None, 1), (3, text(3, 0), None, None, 1), (3, text(3, 0), None, None, 1),
+        (4, "", "en", "a", 0), (4, "", "en", "a", 0), (5, "", "en", "a", 0), (None, None, "en", "a", 0),
+    ]
+    docs = spark.createDataFrame(rows, DOCS)
+    _, near = corpus_pipeline.STAGES[1]
+    got = near(spark, docs, SF)
+    assert got.columns == docs.columns
+    left = [tuple(r) for r in got.collect()]
+    assert all(r in rows for r in left)
+    of = lambda r: next((k for k in range(4) if r[1] and r[1].startswith(base[k][0])), (r[0], r[1]))
+    ids = sorted(((of(r), r[0]) for r in left), key=repr)
+    assert ids == sorted([(0, 1), (1, 2), (2, None), (3, 3), ((4, ""), 4), ((5, ""), 5), ((None, None), None)], key=repr)
+    assert sorted(map(repr, left)) == sorted(repr(tuple(r)) for r in near(spark, docs.repartition(5), SF).collect())
+    assert (3, text(3, 0), None, None, 1) in left
+    # A null id with the text of a document that has one does not stay.
+    odd = near(spark, odd_docs(spark), SF).collect()
+    assert sorted(repr(r.doc_id) for r in odd) == sorted(map(repr, [1, 4, 5, 6, 7, 8, 9, 10]))
+    assert near(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline_runs(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 0 and {"doc_id", "text", "shard", "slot"} <= set(got.columns)
