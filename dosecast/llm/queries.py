@@ -11,6 +11,7 @@ from dosecast.llm import (
     bagminhash,
     classify,
     decontaminate,
+    divergence,
     language,
     mixing,
     neighbours,
@@ -18,7 +19,9 @@ from dosecast.llm import (
     sharding,
     toxicity,
     urlrules,
+    veccodes,
     warc,
+    weighted,
 )
 from dosecast.llm.common import ROWS_PER_BUCKET, table
 
@@ -91,6 +94,18 @@ def op10_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+def op12_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_trie_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return veccodes.vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def _hash52(*parts: str) -> str:
     return f"('0x' || substr(md5({" || '|' || ".join(parts)}), 1, 13))::BIGINT"
 
@@ -158,6 +173,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_means_tree": op8_means_tree,
     "op9_page_archive": op9_page_archive,
     "op10_hash_tree_shards": op10_hash_tree_shards,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_weighted_fingerprints": op12_weighted_fingerprints,
+    "op13_trie_codes": op13_trie_codes,
 }
 
 ARCHIVE_SQL = """
@@ -204,7 +222,91 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (n) LEFT JOIN hit_items USING (n)"""
 
+TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+DIVERGENCE_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({LOWER}, '{TERMS}') AS ws
+  FROM documents
+), c AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT doc) AS docs
+  FROM (SELECT doc, lang, source, unnest(ws) AS term FROM d) GROUP BY lang, source, term
+), kept AS (
+  SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term HAVING sum(docs) >= 10
+), langs AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS q
+  FROM kept WINDOW w AS (PARTITION BY lang)
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), cells AS (
+  SELECT lang, source, term, n,
+    1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS p
+  FROM (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n
+        FROM g JOIN kept ON g.lang = kept.lang
+        LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term)
+  WINDOW w AS (PARTITION BY lang, source)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q)
+  FROM cells JOIN langs USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 10"""
+
+
+def _codes_sql(coding: veccodes.Coding) -> str:
+    """The rounds one after the other, each an assignment and new entries."""
+    far = "list_sum(list_transform(list_zip(part, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = [
+        f"""WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor({coding.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT n, vec_id, pos, q[pos * (len(q) // {coding.parts}) + 1 : (pos + 1) * (len(q) // {coding.parts})] AS part
+  FROM v, range({coding.parts}) AS r(pos)
+), b0 AS MATERIALIZED (
+  SELECT pos, entry, part AS c FROM p JOIN (
+    SELECT n, row_number() OVER (ORDER BY vec_id NULLS LAST, q) - 1 AS entry FROM v) USING (n)
+  WHERE entry < {coding.entries}
+)"""
+    ]
+    for k in range(coding.rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+  SELECT n, p.pos, any_value(part) AS part, min({far} * {coding.entries} + entry) AS best
+  FROM p JOIN b{k} b ON p.pos = b.pos GROUP BY n, p.pos
+)""")
+        if k < coding.rounds:
+            steps.append(f"""b{k + 1} AS MATERIALIZED (
+  SELECT b.pos, b.entry, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN (
+    SELECT pos, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+      SELECT pos, best % {coding.entries} AS entry, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+      FROM (SELECT pos, best, unnest(part) AS x, unnest(range(len(part))) AS i FROM a{k}) GROUP BY ALL)
+    GROUP BY pos, entry) m ON m.pos = b.pos AND m.entry = b.entry
+)""")
+    last = coding.rounds
+    return ", ".join(steps) + f""", coded AS (
+  SELECT n, string_agg(lpad(lower(to_hex(best % {coding.entries})), 2, '0'), '' ORDER BY pos) AS code,
+    CAST(sum(best // {coding.entries}) AS BIGINT) AS error
+  FROM a{last} GROUP BY n
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY pos, entry)) FROM b{last}) AS codebooks_sha256
+FROM v JOIN coded USING (n)"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_source_divergence": DIVERGENCE_SQL,
+    "op13_trie_codes": _codes_sql(veccodes.Coding()),
     "op6_benchmark_passages": PASSAGES_SQL,
     "op9_page_archive": ARCHIVE_SQL,
     "op10_hash_tree_shards": _shard_sql(),
