@@ -56,6 +56,7 @@ class Banding:
     bands: int = 40
     rows: int = 6
     extra: int = 512
+    deviations: float | None = 4.0
 
     @property
     def size(self) -> int:
@@ -64,7 +65,9 @@ class Banding:
     @property
     def screen(self) -> float:
         t = self.threshold
-        return t - 4 * (t * (1 - t) / (self.size + self.extra)) ** 0.5
+        if self.deviations is None:
+            return 0.0
+        return t - self.deviations * (t * (1 - t) / (self.size + self.extra)) ** 0.5
 
 
 def bags(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -298,11 +301,15 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
 
     Classes are the components of the links between texts that are near (or equal). Texts of
     fewer than five words are one run of all of them. A text without words, null included, is a
-    class of its own with its own ``doc_id``. Nodes are 64-bit hashes of the texts.
+    class of its own with its own ``doc_id``. Nodes are 64-bit hashes of the texts. Texts of any
+    length count whole; repeated rows are members of their own. Other columns may have any name;
+    those named like a result are replaced by it. An empty table gives no row.
     """
     ship(docs.sparkSession)
     node = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
-    rows = docs.drop("class_id", "class_size", "class_key").withColumn("_node", node)
+    # Other columns travel as one, so that none of their names can clash.
+    kept = [c for c in docs.columns if c not in ("text", "class_id", "class_size", "class_key")]
+    rows = docs.select(F.struct(*kept).alias("_row"), F.col("doc_id").alias("_doc"), node.alias("_node"))
     texts = docs.select(node.alias("node"), "text").where("node IS NOT NULL")
     signed = materialise(signature_table(texts, banding))
 
@@ -365,20 +372,19 @@ def near_duplicates(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
 
     some = signed.select("node").distinct()
     keyed = (
-        rows.drop("text")
-        .join(some.withColumnRenamed("node", "_known"), F.col("_node") == F.col("_known"), "left")
+        rows.join(some.withColumnRenamed("node", "_known"), F.col("_node") == F.col("_known"), "left")
         .join(final.withColumnRenamed("node", "_n"), F.col("_known") == F.col("_n"), "left")
-        .withColumn("_class", F.coalesce("root", "_known"))
-        .drop("_n", "root", "_known", "_node")
+        .select("_row", "_doc", F.coalesce("root", "_known").alias("class_key"))
     )
     classes = (
-        keyed.where("_class IS NOT NULL")
-        .groupBy("_class")
-        .agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+        keyed.where("class_key IS NOT NULL")
+        .groupBy("class_key")
+        .agg(F.min("_doc").alias("class_id"), F.count("*").alias("class_size"))
     )
-    return (
-        keyed.join(classes, "_class", "left")
-        .withColumn("class_id", F.when(F.col("_class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))
-        .withColumn("class_size", F.coalesce("class_size", F.lit(1).cast("long")))
-        .withColumnRenamed("_class", "class_key")
+    alone = F.col("class_key").isNull()
+    return keyed.join(classes, "class_key", "left").select(
+        "_row.*",
+        "class_key",
+        F.when(alone, F.col("_doc")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
     )

@@ -59,7 +59,9 @@ def ngram_features(texts: Sequence[str | None], settings: Settings):
 
 def fit(rows: DataFrame, settings: Settings = Settings()) -> LanguageModel | None:  # noqa: B008
     """Learn from ``doc_id``, ``text`` and ``lang``. Rows with a null of the last two are left
-    out; without any there is no model."""
+    out; without any there is no model. The sample is bounded whatever the ids and the number of
+    languages; every sampled row weighs the same, so a small language counts as much as a large
+    one where both fill their share."""
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     features = lambda texts: ngram_features(texts, settings)
     size = 1 << settings.bits
@@ -70,9 +72,10 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> LanguageModel | Non
         return None
     idf = classify.idf(seen, n)
     examples = []
-    for label, (index, count) in found:
+    for label, _, (index, count) in found:
         value = np.log1p(count) * idf[index]
-        examples.append(classify.Example(label, index, value / max(1e-12, np.linalg.norm(value))))
+        value = (value / max(1e-12, np.linalg.norm(value))).astype(np.float32)
+        examples.append(classify.Example(label, index, value))
     languages = sorted({e.label for e in examples})
     back = max(1, int(len(examples) * settings.held_back)) if len(examples) > 1 else 0
     weights = classify.train_ftrl(examples[back:], languages, size, settings.learner)
@@ -128,7 +131,12 @@ def predicted(text: Column, model: LanguageModel | None, df: DataFrame) -> Colum
 
 
 def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, replacing columns of these names."""
+    """``docs`` with ``lang_pred`` and ``score``, replacing columns of these names.
+
+    A text without a letter, null and empty ones included, is ``und`` with score 0, and so is
+    every text if there is no model. Long texts count whole; equal texts, also in repeated rows,
+    have equal results; of languages that tie the first by name wins. Other columns stay as they
+    are. An empty table gives no row."""
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     return docs.withColumn("_p", predicted(F.col("text"), model, docs)).select(
         *kept, "_p.lang_pred", "_p.score"

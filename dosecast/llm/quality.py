@@ -39,6 +39,7 @@ class QualityModel:
     project: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
+    weights: np.ndarray
     prior: float
     settings: Settings
 
@@ -59,13 +60,14 @@ class QualityModel:
         return out / np.maximum(length, 1e-12)
 
     def scores(self, texts: Sequence[str | None]) -> np.ndarray:
-        """The similarity-weighted share of label 1 among the nearest labelled vectors."""
+        """The share of label 1 among the nearest labelled vectors, weighted by similarity and by
+        how many rows of its label a vector stands for."""
         own, out = self.embed(texts), np.empty(len(texts))
         k = min(self.settings.neighbours, len(self.labels))
         for a in range(0, len(texts), BLOCK):
             near = own[a : a + BLOCK] @ self.vectors.T
             top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(near, top, axis=1), 0.0).astype(np.float64)
+            weight = np.maximum(np.take_along_axis(near, top, axis=1), 0.0) * self.weights[top]
             total = weight.sum(axis=1)
             vote = (weight * self.labels[top]).sum(axis=1)
             out[a : a + BLOCK] = np.where(total > 1e-9, vote / np.maximum(total, 1e-9), self.prior)
@@ -90,28 +92,30 @@ def shape_features(texts: Sequence[str | None], settings: Settings):
     return words.ngrams(SHAPES[np.minimum(points, 128)], starts, settings.sizes, settings.bits)
 
 
-def fit(docs: DataFrame, rows: DataFrame, settings: Settings = Settings()) -> QualityModel | None:  # noqa: B008
-    """Frequencies from all of ``docs``; vectors from ``rows`` with ``doc_id``, ``text`` and
-    ``quality``. Rows with a null of the last two are left out; without any there is no model."""
+def fit(docs: DataFrame, sample: DataFrame, settings: Settings = Settings()) -> QualityModel | None:  # noqa: B008
+    """Frequencies from all of ``docs``; vectors from ``sample``, bounded, with ``doc_id``, ``text``,
+    ``quality`` and, optionally, ``weight``. Rows with a null of text or label are left out; without any
+    there is no model."""
     features = lambda texts: shape_features(texts, settings)
     size = 1 << settings.bits
-    rows = rows.where("text IS NOT NULL AND quality IS NOT NULL").select(
-        "doc_id", "text", F.when(F.col("quality") == 1, "1").otherwise("0").alias("quality")
+    rows = sample.where("text IS NOT NULL AND quality IS NOT NULL").withColumn(
+        "quality", F.when(F.col("quality") == 1, "1").otherwise("0")
     )
-    sample = classify.bounded_sample(rows, "quality", settings.rows_per_label)
-    found = classify.collect_features(sample, features, "quality", "text")
+    found = classify.collect_features(rows, features, "quality", "text")
     if not found:
         return None
     idf = classify.idf(*classify.document_frequencies(docs, features, size))
-    labels = np.array([float(x) for x, _ in found])
-    owner = np.repeat(np.arange(len(found)), [len(i) for _, (i, _) in found])
-    index = np.concatenate([i for _, (i, _) in found])
-    count = np.concatenate([c for _, (_, c) in found])
+    labels = np.array([float(x) for x, _, _ in found])
+    weights = np.array([w for _, w, _ in found])
+    owner = np.repeat(np.arange(len(found)), [len(i) for _, _, (i, _) in found])
+    index = np.concatenate([i for _, _, (i, _) in found])
+    count = np.concatenate([c for _, _, (_, c) in found])
     value = classify.unit_rows(owner, np.log1p(count) * idf[index], len(found))
     project = right_vectors(owner, index, value.astype(np.float32), len(found), size, settings.dimensions)
-    bare = QualityModel(idf, project, np.zeros((0, 0)), labels, float(labels.mean()), settings)
+    prior = float(np.average(labels, weights=weights))
+    bare = QualityModel(idf, project, np.zeros((0, 0)), labels, weights, prior, settings)
     vectors = bare.latent(owner, index, count, len(found))
-    return QualityModel(idf, project, vectors, labels, float(labels.mean()), settings)
+    return QualityModel(idf, project, vectors, labels, weights, prior, settings)
 
 
 def right_vectors(
@@ -130,8 +134,10 @@ def right_vectors(
 
 def score(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     """``docs`` with ``score``, from 0 to 1, and ``predicted``, 1 from 0.3 on, replacing columns
-    of these names. A text without features of the sample scores the sample's mean label, and so
-    does an empty or null one; without a model every score is 0."""
+    of these names. A text without features of the sample scores the mean label of all labelled
+    rows, and so does an empty or null one; without a model every score is 0. Long texts count
+    whole; equal texts, also in repeated rows, have equal scores; of vectors equally near any may
+    vote. An empty table gives no row."""
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -39,22 +39,26 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", held_out, "text"), model).drop("text")
 
 
-def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """All documents with their fold, and the labelled ones that may be learned from."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+def _labelled(spark: SparkSession, sf_dir: str, label: str, per_label: int) -> tuple[DataFrame, DataFrame]:
+    """All documents with their fold, and a bounded sample of the labelled ones that may be
+    learned from."""
+    docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(classify.fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out")
     docs = docs.select("doc_id", held_out, "text")
-    return docs, docs.where("NOT held_out").join(labels, "doc_id")
+    learned = docs.where("NOT held_out")
+    return docs, classify.labelled_sample(learned, table(spark, sf_dir, "labels"), label, per_label)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labelled = _labelled(spark, sf_dir)
-    return toxicity.score(docs, toxicity.fit(labelled)).drop("text")
+    how = toxicity.Settings()
+    docs, sample = _labelled(spark, sf_dir, "toxic", how.rows_per_label)
+    return toxicity.score(docs, toxicity.fit(sample, how)).drop("text")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labelled = _labelled(spark, sf_dir)
-    return quality.score(docs, quality.fit(docs, labelled)).drop("text")
+    how = quality.Settings()
+    docs, sample = _labelled(spark, sf_dir, "quality", how.rows_per_label)
+    return quality.score(docs, quality.fit(docs, sample, how)).drop("text")
 
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
