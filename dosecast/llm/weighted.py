@@ -35,10 +35,15 @@ MARK_BITS = 31
 KEY = ["no_id", "id", "hash"]
 
 
-def _uniform(bits: Column, shift: int, width: int) -> Column:
-    """A number in (0, 1) from some of the bits."""
-    part = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-    return (part.cast("double") + 0.5) * 2.0**-width
+def _bits(number: Column, shift: int, width: int) -> Column:
+    part = F.shiftrightunsigned(number, shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+    return part.cast("double")
+
+
+def _uniform(high: Column, shift: int, low: Column, low_shift: int, low_width: int) -> Column:
+    """A number in (0, 1): 16 bits of one hash, and finer ones of another."""
+    fine = (_bits(low, low_shift, low_width) + 0.5) * 2.0**-low_width
+    return (_bits(high, shift, 16) + fine) * 2.0**-16
 
 
 def _fixed(rows: DataFrame) -> DataFrame:
@@ -52,15 +57,25 @@ def draws(rows: DataFrame, weights: Sequence[str]) -> DataFrame:
     weight column; null beyond the reach of ``<weight>_total``, and rows of nulls only are left
     out. Every step is a projection of its own, so that each draw is worked out once."""
     f, s, u, x, r, b, c = (F.col(f"_{n}") for n in "fsuxrbc")
-    rows = rows.withColumn("_f", F.xxhash64("term", "component")).withColumn("_s", F.xxhash64("_f"))
+    rows = rows.withColumn("_f", F.xxhash64("term", "component"))
+    # From below and from above, by the bits of the first hash.
     rows = rows.withColumns(
-        {"_u": _uniform(f, 43, 21) * _uniform(f, 22, 21), "_x": _uniform(s, 32, 32) * _uniform(s, 0, 32)}
+        {
+            "_u": _bits(f, 48, 16) * _bits(f, 32, 16) * 2.0**-32,
+            "_x": (_bits(f, 16, 16) + 1) * (_bits(f, 0, 16) + 1) * 2.0**-32,
+        }
     )
     some = F.lit(False)
     for w in weights:
         some = some | ((1 - x) * u * 2 * F.col(f"{w}_total") <= (1 + x) * F.col(w) * REACH)
-    rows = _fixed(rows).where((F.col("_part") >= 0) & some)
-    rows = rows.withColumns({"_r": -F.ln(u), "_b": _uniform(f, 0, 22), "_c": F.ln(-F.ln(x))})
+    rows = _fixed(rows).where((F.col("_part") >= 0) & some).withColumn("_s", F.xxhash64("_f"))
+    rows = rows.withColumns(
+        {
+            "_r": -F.ln(_uniform(f, 48, s, 53, 11) * _uniform(f, 32, s, 42, 11)),
+            "_b": (_bits(s, 0, 22) + 0.5) * 2.0**-22,
+            "_c": F.ln(-F.ln(_uniform(f, 16, s, 32, 10) * _uniform(f, 0, s, 22, 10))),
+        }
+    )
     step = {w: F.floor(F.ln(F.col(w).cast("double")) / r + b) for w in weights}
     rows = rows.withColumns({f"_t_{w}": t for w, t in step.items()})
     rank = {w: c - r * (F.col(f"_t_{w}").cast("double") - b + 1.0) for w in weights}
@@ -115,9 +130,8 @@ def likeness(one: Column, two: Column, samples: int = SAMPLES) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Terms of a text, A-Z lower-cased; a text without one has the empty term."""
-    found = F.regexp_extract_all(ascii_lower(text), F.lit(f"({SPACED_WORD})"), F.lit(1))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("")))
+    """Terms of a text, A-Z lower-cased."""
+    return F.regexp_extract_all(ascii_lower(text), F.lit(f"({SPACED_WORD})"), F.lit(1))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -196,10 +210,12 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     )
     sides = F.posexplode(F.array("text", "edited")).alias("side", "t")
     lists = both.select(*KEY, sides).select(*KEY, "side", terms(F.col("t")).alias("t"))
-    words = lists.select(*KEY, "side", F.size("t").alias("total"), F.explode("t").alias("t"))
+    # A text without terms has the empty one.
+    total = F.greatest(F.size("t"), F.lit(1)).alias("total")
+    words = lists.select(*KEY, "side", total, F.explode_outer("t").alias("t"))
     own, edited = F.col("side") == 0, F.col("side") == 1
     bags = (
-        words.withColumn("term", F.xxhash64("t"))
+        words.withColumn("term", F.xxhash64(F.coalesce("t", F.lit(""))))
         .groupBy(*KEY, "term")
         .agg(
             F.count_if(own).alias("own"),
