@@ -1,10 +1,12 @@
 """How far the sources of a language differ in their words: an audit with late strings.
 
-Terms are counted by a 64-bit digest, so the shuffles of the counts carry fixed-width numbers. The
-strings stay in the scratch table of the first scan until they are needed:
+Terms are counted by a 64-bit digest, so the shuffles of the counts carry fixed-width numbers.
+Most terms are rare and no string of theirs leaves its task:
 
-* for the digests that may be kept, the smallest and the largest string are taken. Where they
-  differ, several terms share the digest; those few digests are counted again by string;
+* a first scan counts the documents of each digest, which tells the digests that may be kept;
+* a second scan counts the occurrences of those by group, and writes them with their strings to a
+  scratch table. Of each digest the smallest and the largest string are taken; where they differ,
+  several terms share the digest, and those few digests are counted again by string;
 * the strings of the rows that are put out are joined back at the end.
 
 Probabilities are smoothed and scaled to integers, and all sums are exact. For two sources every
@@ -16,11 +18,12 @@ product.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,9 +34,11 @@ from dosecast.llm.common import materialise, ship
 LETTERS = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-# Distinct terms a task holds before it writes them, and bytes of a text cut at once.
-HELD = 200_000
+# Distinct terms that a task holds before it hands on their counts, and bytes of a text cut at once.
+HELD = 1_000_000
 PIECE = 1 << 20
+# Digests that the tasks may be given, eight bytes each.
+GIVEN = 1_000_000
 # Terms of a block and sources of a tile: bounds of the matrices that are compared.
 BLOCK = 2048
 TILE = 128
@@ -51,6 +56,10 @@ class Audit:
     digest_bits: int = 64
 
 
+#: Digests in order, by language.
+Given = dict[str, np.ndarray]
+
+
 def term_lists(text: bytes) -> Iterator[list[bytes]]:
     """The terms of a text, in lists of bounded length."""
     plain, start = text.translate(LETTERS), 0
@@ -61,45 +70,76 @@ def term_lists(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
-def term_partials(rows: DataFrame) -> DataFrame:
-    """``lang``, ``source``, ``term``, ``n`` and ``docs``, the occurrences of a term and the
-    documents with it, in parts that are still to be summed. A row with a null term tells
-    that the group occurs."""
-
-    def flush(groups: dict) -> pa.RecordBatch:
-        lang, source, term, n, docs = ([] for _ in range(5))
-        for (a, b), (count, seen) in groups.items():
-            size = len(count) + 1
-            lang += [a] * size
-            source += [b] * size
-            term += [None, *count]
-            n += [0, *count.values()]
-            docs += [0, *(seen[t] for t in count)]
-        columns = [pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.binary())]
-        columns += [pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
-        return pa.record_batch(columns, ["lang", "source", "term", "n", "docs"])
+def each_term(count: Counter, text: bytes) -> None:
+    for terms in term_lists(text):
+        count.update(terms)
+
+
+def once_a_document(count: Counter, text: bytes) -> None:
+    count.update({t for terms in term_lists(text) for t in terms})
+
+
+def digests(terms: list[bytes], bits: int) -> np.ndarray:
+    """64-bit hashes of terms, or the upper ``bits`` of them."""
+    found = np.fromiter(map(xxhash.xxh64_intdigest, terms), np.uint64, len(terms))
+    return (found >> np.uint64(64 - bits)).view(np.int64)
+
+
+def term_counts(
+    rows: DataFrame,
+    groups: list[str],
+    count: Callable[[Counter, bytes], None],
+    how: Audit,
+    strings: bool = False,
+    given: Given | None = None,
+) -> DataFrame:
+    """``digest`` and ``n`` by the columns ``groups``, the first of which is ``lang``, in parts that are
+    still to be summed; with ``strings`` by ``term`` too. ``given`` leaves other digests out."""
+    wanted = None if given is None else rows.sparkSession.sparkContext.broadcast(given)
+
+    def flush(held: dict) -> Iterator[pa.RecordBatch]:
+        for group, counter in held.items():
+            terms, n = list(counter), np.fromiter(counter.values(), np.int64, len(counter))
+            found = digests(terms, how.digest_bits)
+            if wanted is not None:
+                listed = wanted.value.get(group[0], np.zeros(0, np.int64))
+                at = np.minimum(np.searchsorted(listed, found), max(0, len(listed) - 1))
+                kept = np.flatnonzero(listed[at] == found) if len(listed) else np.zeros(0, np.int64)
+                found, n = found[kept], n[kept]
+                terms = [terms[k] for k in kept] if strings else []
+            columns = [pa.array([x] * len(n), pa.string()) for x in group] + [pa.array(found), pa.array(n)]
+            names = [*groups, "digest", "n"]
+            if strings:
+                columns.append(pa.array(terms, pa.binary()))
+                names.append("term")
+            yield pa.record_batch(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups, held = {}, 0
+        held, size = {}, 0
         for batch in batches:
-            pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
-            for pair, text in zip(pairs, batch.column("text"), strict=True):
-                if pair not in groups:
-                    groups[pair] = (Counter(), Counter())
-                    held += 1
-                count, docs = groups[pair]
-                before, seen = len(count), set()
-                for terms in term_lists(text.as_py()):
-                    count.update(terms)
-                    seen.update(terms)
-                docs.update(seen)
-                held += len(count) - before
-                if held > HELD:
-                    yield flush(groups)
-                    groups, held = {}, 0
-        yield flush(groups)
-
-    return rows.mapInArrow(run, "lang string, source string, term binary, n long, docs long")
+            keys = zip(*[batch.column(g).to_pylist() for g in groups], strict=True)
+            for key, text in zip(keys, batch.column("text"), strict=True):
+                counter = held.setdefault(key, Counter())
+                before = len(counter)
+                count(counter, text.as_py())
+                size += len(counter) - before
+                if size > HELD:
+                    yield from flush(held)
+                    held, size = {}, 0
+        yield from flush(held)
+
+    schema = [*(f"{g} string" for g in groups), "digest long", "n long", *["term binary"] * strings]
+    found = rows.select(*groups, "text").mapInArrow(run, ", ".join(schema))
+    return found.withColumn("term", F.col("term").cast("string")) if strings else found
+
+
+def listed(digests: DataFrame) -> Given | None:
+    """A small table of ``lang`` and ``digest`` as arrays; None for a large one."""
+    if digests.limit(GIVEN + 1).count() > GIVEN:
+        return None
+    found = digests.select("lang", "digest").toArrow()
+    langs, values = np.array(found.column("lang").to_pylist(), object), found.column("digest").to_numpy()
+    return {lang: np.sort(values[langs == lang]) for lang in dict.fromkeys(langs)}
 
 
 def probability(count: Column, total: Column, terms: Column, scale: int) -> Column:
@@ -171,53 +211,55 @@ def audit_sources(docs: DataFrame, how: Audit = Audit()) -> DataFrame:  # noqa:
     ``term`` the ``top`` terms that it has more often than the language. Null texts, languages
     and sources read as empty. A group without terms takes part, with counts of 0; where a
     language keeps no term all distances are 0. Repeated rows are documents of their own. Equal
-    values rank by item, in the order of UTF-8 bytes. Long texts are cut at words. An empty table
-    gives no row.
+    values rank by item, in the order of UTF-8 bytes. Texts of any length count whole. An empty
+    table gives no row.
     """
     ship(docs.sparkSession)
-    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
     named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
-    digest = F.shiftrightunsigned(F.xxhash64("term"), 64 - how.digest_bits)
-    partials = materialise(
-        term_partials(docs.select(*named, text))
-        .withColumn("term", F.col("term").cast("string"))
-        .withColumn("digest", F.when(F.col("term").isNotNull(), digest))
-    )
-    total = [F.sum("n").alias("n"), F.sum("docs").alias("docs")]
-    counted = partials.where("digest IS NOT NULL")
-    counts = materialise(counted.groupBy("lang", "source", "digest").agg(*total))
-
+    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    rows, pair = docs.select(*named, text), ["lang", "digest"]
     # A digest is in as many documents as its terms together, so no kept term is missed.
-    enough = F.sum("docs") >= how.min_docs
     held = materialise(
-        counts.groupBy("lang", "digest").agg(enough.alias("enough")).where("enough").drop("enough")
+        term_counts(rows, ["lang"], once_a_document, how)
+        .groupBy(*pair)
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= how.min_docs)
+        .drop("n")
     )
+    given = listed(held)
+    parts = materialise(term_counts(rows, ["lang", "source"], each_term, how, strings=True, given=given))
+    # Tasks that were given the digests have left all others out already.
+    parts = parts if given is not None else parts.join(held, pair, "left_semi")
+    counts = parts.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
     strings = materialise(
-        counted.join(held, ["lang", "digest"])
-        .groupBy("lang", "digest")
+        parts.select(*pair, "term")
+        .distinct()
+        .groupBy(*pair)
         .agg(F.min("term").alias("term"), F.max("term").alias("last"))
     )
-    shared = strings.where("term <> last").select("lang", "digest")
-    whole = (
-        counts.join(held, ["lang", "digest"], "left_semi")
-        .join(shared, ["lang", "digest"], "left_anti")
-        .withColumn("split", F.lit(""))
-    )
-    parts = (
-        counted.join(shared, ["lang", "digest"])
-        .groupBy("lang", "source", "digest", F.col("term").alias("split"))
-        .agg(*total)
-    )
+    shared = materialise(strings.where("term <> last").select(*pair))
     key = ["lang", "digest", "split"]
-    often = parts.groupBy(*key).agg(enough.alias("enough")).where("enough").drop("enough")
-    kept = materialise(whole.unionByName(parts.join(often, key, "left_semi")).drop("docs"))
-
+    kept = counts.withColumn("split", F.lit(""))
+    if not shared.isEmpty():
+        spelled = F.col("term").alias("split")
+        often = (
+            term_counts(rows, ["lang"], once_a_document, how, strings=True, given=listed(shared))
+            .join(shared, pair, "left_semi")
+            .groupBy(*pair, spelled)
+            .agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= how.min_docs)
+            .drop("n")
+        )
+        split = parts.join(shared, pair, "left_semi").groupBy("lang", "source", "digest", spelled)
+        split = split.agg(F.sum("n").alias("n")).join(often, key, "left_semi")
+        kept = kept.join(shared, pair, "left_anti").unionByName(split)
+    kept = materialise(kept)
     by_lang = materialise(kept.groupBy(*key).agg(F.sum("n").alias("lang_n")))
     sizes = by_lang.groupBy("lang").agg(F.count("*").alias("V"), F.sum("lang_n").alias("lang_size"))
     none = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     numbered = Window.partitionBy("lang").orderBy("source")
     groups = materialise(
-        partials.select("lang", "source")
+        docs.select(*named)
         .distinct()
         .join(kept.groupBy("lang", "source").agg(F.sum("n").alias("size")), ["lang", "source"], "left")
         .join(sizes, "lang", "left")
