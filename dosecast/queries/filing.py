@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from dosecast.operators import coverage, snapshots
+from dosecast.operators import coverage, snapshots, versions
 from dosecast.plans import status
 from dosecast.queries.fixtures import cte, frame, scratch, table
 from dosecast.sources import files as file_ops
@@ -252,6 +253,46 @@ def full_overwrite(spark, sf):
     return spark.read.parquet(path)
 
 
+def atomic_replace(spark, sf):
+    """Two declared dates are replaced, one of them by nothing; then a write that fails half way
+    and one with a row of another date leave the table as it is."""
+    path = scratch(spark, "versions")
+    m = dated(spark, sf)
+    dates = [LAST, LAST + dt.timedelta(days=1)]
+    versions.replace_all(m, path, "extract_date")
+    again = m.where(F.col("extract_date") == F.lit(LAST)).withColumn("event_type", F.lit("again"))
+    for _ in range(2):
+        versions.replace_values(again, path, "extract_date", dates)
+    broken = again.withColumn("event_type", F.raise_error(F.lit("broken")).cast("string"))
+    for bad in (broken, m):
+        try:
+            versions.replace_values(bad, path, "extract_date", dates)
+        except (PySparkException, ValueError):
+            continue
+        raise AssertionError("a bad write went through")
+    return versions.read_table(spark, path, m.schema, "extract_date")
+
+
+def vanished_values(spark, sf):
+    """Of three declared types one has no row in a later write, so its old rows go."""
+    path = scratch(spark, "values")
+    m = dated(spark, sf).withColumn("event_type", F.col("event_type").cast("string"))
+    types = [r[0] for r in m.select("event_type").distinct().orderBy("event_type").limit(3).collect()]
+    versions.replace_all(m, path, "event_type")
+    late = m.where((F.col("event_type") == types[0]) & (F.col("extract_date") > F.lit(LAST)))
+    versions.replace_values(late, path, "event_type", types)
+    return versions.read_table(spark, path, m.schema, "event_type")
+
+
+def atomic_overwrite(spark, sf):
+    """The whole table twice; values that the second write lacks are gone."""
+    path = scratch(spark, "whole")
+    m = dated(spark, sf)
+    versions.replace_all(m, path, "extract_date")
+    versions.replace_all(m.where(F.col("extract_date") < F.lit(FIRST)), path, "extract_date")
+    return versions.read_table(spark, path, m.schema, "extract_date")
+
+
 def csv_roundtrip(spark, sf):
     path = scratch(spark, "csv")
     t = frame(spark, sf, "texts").select("id", "raw_text", "raw_days", "raw_date")
@@ -283,6 +324,9 @@ QUERIES = {
     "snapshot_replace": snapshot_replace,
     "partition_replace": partition_replace,
     "full_overwrite": full_overwrite,
+    "atomic_replace": atomic_replace,
+    "vanished_values": vanished_values,
+    "atomic_overwrite": atomic_overwrite,
     "csv_roundtrip": csv_roundtrip,
 }
 
@@ -419,5 +463,12 @@ ORACLES = {
     "partition_replace": MEMBERS
     + f"select study_protocol, extract_date, event_type from members where event_type <> 'view' or extract_date > date '{LAST}'",
     "full_overwrite": MEMBERS + f"select * from members where extract_date < date '{FIRST}'",
+    "atomic_replace": MEMBERS
+    + f"""select case when extract_date = date '{LAST}' then 'again' else event_type end as event_type, study_protocol, extract_date
+      from members where extract_date <> date '{LAST}' + 1""",
+    "vanished_values": MEMBERS
+    + f""", t as (select event_type, row_number() over (order by event_type) as n from (select distinct event_type from members))
+      select m.* from members m join t using (event_type) where n > 3 or (n = 1 and extract_date > date '{LAST}')""",
+    "atomic_overwrite": MEMBERS + f"select * from members where extract_date < date '{FIRST}'",
     "csv_roundtrip": cte("texts") + "select id, raw_text, raw_days, raw_date from texts",
 }

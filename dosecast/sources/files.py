@@ -6,7 +6,9 @@ listing from a catalogue table works as well as one from the file system.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,51 +125,100 @@ def classify_file(file_name: Column, by_modification: bool = False) -> Column:
     return kind(F.lower(file_name))
 
 
-def classify_report(file_name: Column) -> Column:
-    """``struct(report_name, subreport_name)`` of a file name, null for files that are none."""
-    return _report_of(F.lower(file_name))
-
+# Words of a report name: the first ones tell the report, the others its variant and part.
+KIND_WORDS = (
+    "subject summary", "participant summary", "subject visit summary", "inventory summary",
+    "inventory levels", "comparator supply", "supply method", "comparator",
+)
+PART_WORDS = ("unblinded", "subject", "site", "depot", "country")
+SUMMARY, VISIT, INVENTORY, LEVELS, SUPPLY = range(1, 6)
+
+
+def _kind(found: set[str]) -> int:
+    """Report of a name that holds these words; the first that fits, 0 for none."""
+    if found & {"subject summary", "participant summary"}:
+        return SUMMARY
+    if "subject visit summary" in found:
+        return VISIT
+    if "inventory summary" in found:
+        return INVENTORY
+    if "inventory levels" in found:
+        return LEVELS
+    supply = "comparator supply" in found or ("supply method" in found and "comparator" not in found)
+    return SUPPLY if supply else 0
+
+
+def _titles(kind: int, found: set[str]) -> tuple[str | None, str | None]:
+    """Report and sub-report of a kind, by the other words of the name."""
+    stock = next((w for w in ("site", "depot") if w in found), None)
+    supply = "site" if "site" in found else "country" if "country" in found else None
+    if kind == SUMMARY:
+        person = "Subject" if "subject" in found else "Participant"
+        return (f"{person} Summary (Unblinded)" if "unblinded" in found else "Subject Summary"), None
+    if kind == VISIT:
+        return "Subject Visit Summary", None
+    if kind == INVENTORY:
+        return "Inventory Summary (Unblinded)", stock and f"{stock.title()} Inventory Summary"
+    if kind == LEVELS:
+        return "Inventory Levels", stock and stock.title()
+    if kind == SUPPLY:
+        return "Comparator Supply (Unblinded)", supply and f"{supply.title()} Level Supply Method"
+    return None, None
+
+
+def _words_of(mask: int, words: Sequence[str]) -> set[str]:
+    return {w for k, w in enumerate(words) if mask >> k & 1}
+
+
+def _mask(name: Column, words: Sequence[str]) -> Column:
+    """A number with one bit for each of the words that the name holds."""
+    bits = [name.contains(w).cast("int") * (1 << k) for k, w in enumerate(words)]
+    return reduce(operator.add, bits)
+
+
+def _all_titles() -> list[tuple[str | None, str | None]]:
+    """Titles by kind and by the other words of the name."""
+    parts = range(1 << len(PART_WORDS))
+    return [_titles(k, _words_of(m, PART_WORDS)) for k in range(SUPPLY + 1) for m in parts]
+
+
+def report_code(file_name: Column) -> Column:
+    """One number for each report and sub-report, by the file name; null for other files.
+
+    Every word is looked for once and gives a bit; the rules are worked out beforehand for all
+    combinations. Name and kind are bound, so a plan that uses the number often stays small enough
+    to be compiled.
+    """
+    kinds = F.array(*[F.lit(_kind(_words_of(m, KIND_WORDS))) for m in range(1 << len(KIND_WORDS))])
+    number = {t: k for k, t in enumerate(dict.fromkeys(_all_titles()))}
+    numbers = F.array(*[F.lit(number[t]) for t in _all_titles()])
+
+    def coded(name: Column) -> Column:
+        part = _mask(name, PART_WORDS)
+        code = text.let(
+            F.get(kinds, _mask(name, KIND_WORDS)),
+            lambda kind: F.when(kind > 0, F.get(numbers, kind * (1 << len(PART_WORDS)) + part)),
+        )
+        return F.when(name.endswith(".csv") | name.endswith(".enc"), code)
 
-def _report_of(name: Column) -> Column:
-    site, depot, country = (_has(name, w) for w in ("site", "depot", "country"))
+    return text.let(F.lower(file_name), coded)
 
-    def report(title: Column | str, part: Column | None = None) -> Column:
-        return F.struct(
-            (F.lit(title) if isinstance(title, str) else title).alias("report_name"),
-            (F.lit(None).cast("string") if part is None else part).alias("subreport_name"),
-        )
 
-    summary = (
-        F.when(~_has(name, "unblinded"), "Subject Summary")
-        .when(_has(name, "subject"), "Subject Summary (Unblinded)")
-        .otherwise("Participant Summary (Unblinded)")
-    )
-    supply = _has(name, "comparator supply") | (
-        _has(name, "supply method") & ~_has(name, "comparator")
-    )
-    kind = (
-        F.when(_has(name, "subject summary", "participant summary"), report(summary))
-        .when(_has(name, "subject visit summary"), report("Subject Visit Summary"))
-        .when(
-            _has(name, "inventory summary"),
-            report(
-                "Inventory Summary (Unblinded)",
-                F.when(site, "Site Inventory Summary").when(depot, "Depot Inventory Summary"),
-            ),
-        )
-        .when(
-            _has(name, "inventory levels"),
-            report("Inventory Levels", F.when(site, "Site").when(depot, "Depot")),
-        )
-        .when(
-            supply,
-            report(
-                "Comparator Supply (Unblinded)",
-                F.when(site, "Site Level Supply Method").when(country, "Country Level Supply Method"),
-            ),
-        )
+def report_titles(code: Column) -> tuple[Column, Column]:
+    """Report and sub-report of a code."""
+    titles = list(dict.fromkeys(_all_titles()))
+    report, subreport = (
+        F.array(*[F.lit(t).cast("string") for t in column]) for column in zip(*titles, strict=True)
     )
-    return F.when(name.endswith(".csv") | name.endswith(".enc"), kind)
+    return F.get(report, code), F.get(subreport, code)
+
+
+def classify_report(file_name: Column) -> Column:
+    """``struct(report_name, subreport_name)`` of a file name, null for files that are none."""
+    code = report_code(file_name)
+    report, subreport = report_titles(code)
+    titles = F.struct(report.alias("report_name"), subreport.alias("subreport_name"))
+    return F.when(code.isNotNull(), titles)
 
 
 def target_table(report: Column, subreport: Column) -> Column:
@@ -221,20 +272,18 @@ def latest_by_modification(
 
 def latest_reports(files: DataFrame, tie: str = "path") -> DataFrame:
     """Newest file per date, study, report and sub-report; a null sub-report is a group."""
-    found = (
-        files.withColumns(
-            {
-                "_report": classify_report(F.col("file_name")),
-                "_time": name_timestamp(F.col("file_name"), ("csv", "enc")),
-            }
-        )
-        .where(F.col("_report").isNotNull())
-        .withColumns(
-            {c: F.col("_report")[c] for c in ("report_name", "subreport_name")}
-        )
+    found = files.withColumns(
+        {
+            "_code": report_code(F.col("file_name")),
+            "_time": name_timestamp(F.col("file_name"), ("csv", "enc")),
+        }
+    ).where(F.col("_code").isNotNull())
+    # Titles are told of the chosen files only.
+    newest = latest(found, ["extract_date", "study_name", "_code"], "_time", tie, ["file_name"])
+    report, subreport = report_titles(F.col("_code"))
+    return newest.select(
+        "extract_date", "study_name", report.alias("report_name"), subreport.alias("subreport_name"), "file_name"
     )
-    keys = ["extract_date", "study_name", "report_name", "subreport_name"]
-    return latest(found, keys, "_time", tie, ["file_name"])
 
 
 def with_study_code(files: DataFrame, pattern: str = text.STUDY_CODE_PATTERN) -> DataFrame:
