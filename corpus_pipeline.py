@@ -14,16 +14,21 @@ from pyspark.sql import functions as F
 from dosecast.llm import bagminhash, decontaminate, language, mixing, sharding
 from dosecast.llm.common import materialise, table
 
-# A document stays if its language is known at least this well; of four languages, the best
-# guess of an undecided text scores little more than a fourth.
-LEAST_SCORE = 0.4
+# A document stays if its language scores at least so many times an even share of all learned
+# ones, and never more than LEAST_SCORE is asked.
+EVEN_SHARES, LEAST_SCORE = 1.6, 0.4
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those of no language the model knows."""
+    """Drop documents without a letter and those of no language the model knows. Where no
+    language can be learned, every text with a letter stays. Null and empty texts go; repeated
+    rows go or stay together; other columns may have any name; an empty table gives no row."""
     model = language.fit(language.training_rows(docs))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    least = min(LEAST_SCORE, EVEN_SHARES / len(model.languages))
     known = language.identify(docs.withColumnsRenamed({"score": "_score", "lang_pred": "_lang"}), model)
-    kept = known.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    kept = known.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least))
     back = kept.drop("score", "lang_pred").withColumnsRenamed({"_score": "score", "_lang": "lang_pred"})
     return back.select(*docs.columns)
 
@@ -65,12 +70,16 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources to their weights: a row per document and pass over its source."""
+    """The mix of the sources to their weights: a row per document and pass over its source.
+    Texts without words are in no mix; a null source is a source; repeated rows are documents of
+    their own; texts of any length are cut at the mix's words only; an empty table gives no row."""
     return mixing.mixed_documents(docs, mixing.Mix())
 
 
 def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot."""
+    """Every row with its shard and slot, in place of columns of these names. Null and empty texts
+    have a place too; repeated rows have equal shards and slots of their own; an empty table gives
+    no row."""
     return sharding.shard_documents(docs, sharding.even_tree(regions=2, racks=2, shards=2))
 
 
