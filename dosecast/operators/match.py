@@ -8,18 +8,20 @@ country and drug base name but none of them lists the row's drug.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.functions import text
+from dosecast.operators import steps
 from dosecast.operators.joins import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
     lookup_join,
 )
+from dosecast.operators.steps import unwatched
 
 MATCH_KEYS = ("study_protocol", "randomized_treatment", "tpc", "subject_status")
 SCOPE = "country"
@@ -229,11 +231,13 @@ def match_rules(
     rules: DataFrame,
     fallback: str = "all",
     match_null_base: bool = False,
+    watch: Callable[..., DataFrame] = unwatched,
 ) -> DataFrame:
     """All matches of the subjects, overridden drugs removed.
 
     ``fallback="all"`` lets generic rules match every subject; ``"unmatched"`` only those
     without a scoped match. Rules that fit a broadcast meet the subjects in one pass.
+    ``watch`` counts the rows of the steps.
     """
     if fallback not in ("all", "unmatched"):
         raise ValueError(f"fallback must be 'all' or 'unmatched', not {fallback!r}")
@@ -248,7 +252,10 @@ def match_rules(
         matched = match_scoped(folded, rules, size.small).unionByName(
             match_generic(rest, rules, size.small)
         )
-    return unfold(drop_overridden(matched, rules, match_null_base, size))
+    scope = F.col("rule_scope")
+    matched = watch(matched, scoped=F.count_if(scope == 0), generic=F.count_if(scope == 1))
+    kept = drop_overridden(matched, rules, match_null_base, size)
+    return unfold(watch(kept, not_overridden=steps.rows()))
 
 
 def add_need(matched: DataFrame) -> DataFrame:

@@ -5,10 +5,14 @@ Below the table's path, ``data/version=<id>/<column>=<value>/`` holds the files
 the moment its rows are in the log, a single file that appears at its commit. A write that fails
 before leaves files that no reader sees. What a write replaces is declared, not read off its rows,
 so a declared value without a row becomes empty.
+
+Each commit also keeps the table's columns. A write whose columns differ is refused, or widens the
+table, or, where it replaces all rows, replaces the columns too.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -17,7 +21,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-LOG_SCHEMA = "commit long, version string, value string, filled boolean, whole boolean"
+LOG_SCHEMA = "commit long, version string, value string, filled boolean, whole boolean, columns string"
+# What a write may do to the columns of the table.
+DRIFT = ("same", "widen", "replace")
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -49,41 +55,113 @@ def live_versions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType, by: str) -> DataFrame:
-    """The rows of the table now. ``schema`` has its columns, ``by`` is the one it is cut by."""
+def table_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The columns of the table since its last commit; None before the first."""
+    stored = commits(spark, path).agg(F.max_by("columns", "commit")).first()[0]
+    return None if stored is None else StructType.fromJson(json.loads(stored))
+
+
+def schema_changes(old: StructType, new: StructType) -> dict[str, str]:
+    """Column -> ``added``, ``missing`` or ``changed``, of those that differ. Neither the order of
+    the columns nor whether they may be null counts."""
+    before, after = ({f.name: f.dataType.simpleString() for f in s} for s in (old, new))
+    gone = {c: "missing" for c in before if c not in after}
+    kept = {c: "added" if c not in before else "changed" for c, t in after.items() if before.get(c) != t}
+    return gone | kept
+
+
+def merged_schema(old: StructType | None, new: StructType, drift: str) -> StructType:
+    """The table's columns after a write of ``new``; a ValueError where the rule forbids it.
+
+    ``same`` refuses every change. ``widen`` takes new columns, null in the rows before, and
+    leaves columns that the write lacks null in its rows; a changed type is refused. ``replace``
+    takes the columns of the write.
+    """
+    if drift not in DRIFT:
+        raise ValueError(f"drift must be one of {DRIFT}, not {drift!r}")
+    plain = StructType([StructField(f.name, f.dataType) for f in new])
+    if old is None or drift == "replace":
+        return plain
+    changes = schema_changes(old, plain)
+    refused = {c: k for c, k in changes.items() if drift == "same" or k == "changed"}
+    if refused:
+        raise ValueError(f"columns differ from the table's: {refused}")
+    return StructType([*old.fields, *[f for f in plain if changes.get(f.name) == "added"]])
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType | None, by: str) -> DataFrame:
+    """The rows of the table now. ``schema`` has its columns (None: those of the last commit),
+    ``by`` is the one it is cut by. Folders of replaced versions are not listed."""
+    path = path.rstrip("/")
+    schema = schema or table_schema(spark, path)
+    if schema is None:
+        raise ValueError(f"no table under {path}")
     stored = StructType([*schema.fields, StructField("version", StringType())])
     live = live_versions(spark, path).select(
         F.col("version").alias("_version"), F.col("value").alias("_value")
     )
+    # A name per write that still serves a value.
+    serving = sorted(r[0] for r in live.select("_version").distinct().collect())
+    if not serving:
+        return spark.createDataFrame([], schema)
+    folders = [f"{path}/data/version={v}" for v in serving]
+    data = spark.read.schema(stored).option("basePath", f"{path}/data").parquet(*folders)
     # One row per value of the table: small enough for Spark to prune folders by it.
     serves = (F.col("version") == F.col("_version")) & F.col(by).cast("string").eqNullSafe(F.col("_value"))
-    data = _read(spark, f"{path.rstrip('/')}/data", stored)
     return data.join(live, serves, "left_semi").select(*schema.fieldNames())
 
 
-def replace_values(df: DataFrame, path: str, by: str, values: Sequence, max_rows_per_file: int = 5_000_000) -> None:
-    """Replace the rows of the declared ``values`` of ``by``, and no others, by ``df``.
+def replace_values(
+    df: DataFrame,
+    path: str,
+    by: str,
+    values: Sequence,
+    max_rows_per_file: int = 5_000_000,
+    drift: str = "same",
+    sort: Sequence[str] = (),
+) -> int:
+    """Replace the rows of the declared ``values`` of ``by``, and no others, by ``df``; the number
+    of rows written.
 
     A value without a row in ``df`` becomes empty. A row of an undeclared value is an error that
-    leaves the table as it was. Run again on the same rows it gives the same table.
+    leaves the table as it was. Run again on the same rows it gives the same table. ``drift`` is
+    ``same`` or ``widen``; ``sort`` orders the rows of a file.
     """
+    if drift == "replace":
+        raise ValueError("the columns can be replaced with all rows only")
     declared = [None if v is None else str(v) for v in values]
-    _write(df, path, by, declared, max_rows_per_file)
+    return _write(df, path, by, declared, max_rows_per_file, drift, sort)
 
 
-def replace_all(df: DataFrame, path: str, by: str, max_rows_per_file: int = 5_000_000) -> None:
-    """Replace the whole table by ``df``."""
-    _write(df, path, by, None, max_rows_per_file)
+def replace_all(
+    df: DataFrame,
+    path: str,
+    by: str,
+    max_rows_per_file: int = 5_000_000,
+    drift: str = "same",
+    sort: Sequence[str] = (),
+) -> int:
+    """Replace the whole table by ``df``, its columns too under the drift ``replace``; the number
+    of rows written."""
+    return _write(df, path, by, None, max_rows_per_file, drift, sort)
 
 
-def _write(df: DataFrame, path: str, by: str, declared: list | None, max_rows: int) -> None:
+def _write(
+    df: DataFrame, path: str, by: str, declared: list | None, max_rows: int, drift: str, sort: Sequence[str]
+) -> int:
     spark, path, version = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    # Before any file is written.
+    columns = merged_schema(table_schema(spark, path), df.schema, drift).json()
     seen, value = Observation(), F.col(by).cast("string")
     known = F.lit(True) if declared is None else F.coalesce(
         value.isin([v for v in declared if v is not None]), F.lit(None in declared)
     )
-    checked = df.hint("rebalance", F.col(by)).observe(
+    balanced = df.hint("rebalance", F.col(by))
+    if sort:
+        balanced = balanced.sortWithinPartitions(by, *sort)
+    checked = balanced.observe(
         seen,
+        F.count(F.lit(1)).alias("rows"),
         F.count_if(~known).alias("strange"),
         F.count_if(value.isNull()).alias("nulls"),
         F.collect_set(F.when(known, value)).alias("values"),
@@ -98,9 +176,11 @@ def _write(df: DataFrame, path: str, by: str, declared: list | None, max_rows: i
         raise ValueError(f"{found['strange']} rows of values of {by} that were not declared")
     filled = set(found["values"]) | ({None} if found["nulls"] else set())
     last = commits(spark, path).agg(F.coalesce(F.max("commit"), F.lit(0))).first()[0]
-    rows = [(last + 1, version, v, v in filled, declared is None) for v in (filled if declared is None else set(declared))]
-    if declared is None:
+    whole, replaced = declared is None, filled if declared is None else set(declared)
+    rows = [(last + 1, version, v, v in filled, whole, columns) for v in replaced]
+    if whole:
         # An empty table has a commit too.
-        rows.append((last + 1, version, None, None, True))
+        rows.append((last + 1, version, None, None, True, columns))
     # One file, so that readers see all rows of the commit or none.
     spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/log")
+    return found["rows"]

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosecast.functions import rows
-from dosecast.operators import match
+from dosecast.operators import match, steps
 from dosecast.operators.project import HORIZON_DAYS, project_visits
 from dosecast.operators.rollup import rollup_first_sum
 from dosecast.schemas import PLAN_SCHEMA
@@ -75,16 +75,16 @@ def subject_drugs(
     fallback: str = "all",
     excluded: Sequence[str] = match.EXCLUDED_STATUSES,
     match_null_base: bool = False,
+    watch: Callable[..., DataFrame] = steps.unwatched,
 ) -> DataFrame:
     """One row per study, subject and drug, with the need per cycle and the visit pattern."""
-    active = match.active_subjects(prepare_subjects(subjects), excluded)
+    read = watch(prepare_subjects(subjects), subjects=steps.rows())
+    active = watch(match.active_subjects(read, excluded), active=steps.rows())
     ready_rules = match.normalise(prepare_rules(rules), match.NORMALISED_RULES)
-    matched = match.add_need(
-        match.match_rules(
-            match.normalise(active, match.NORMALISED), ready_rules, fallback, match_null_base
-        )
-    )
-    return rollup_first_sum(
+    ready = match.normalise(active, match.NORMALISED)
+    kept = match.match_rules(ready, ready_rules, fallback, match_null_base, watch)
+    matched = watch(match.add_need(kept), with_drug=steps.rows())
+    rolled = rollup_first_sum(
         matched,
         PLAN_KEYS,
         [NEED],
@@ -92,6 +92,7 @@ def subject_drugs(
         FIRST_ROW,
         match.order_key(matched, rule_order(ready_rules)),
     )
+    return watch(rolled, subject_drugs=steps.rows())
 
 
 def plan_demand(
@@ -103,12 +104,14 @@ def plan_demand(
     excluded: Sequence[str] = match.EXCLUDED_STATUSES,
     match_null_base: bool = False,
     processed_at: dt.datetime | None = None,
+    watch: Callable[..., DataFrame] = steps.unwatched,
 ) -> DataFrame:
     """Every visit due up to the horizon with the drug and quantity it needs.
 
-    The result is not sorted; ``sort_plan`` does that for display.
+    The result is not sorted; ``sort_plan`` does that for display. ``watch`` (that of a
+    ``StepCounts``) counts the rows of every step.
     """
-    drugs = subject_drugs(subjects, rules, fallback, excluded, match_null_base)
+    drugs = subject_drugs(subjects, rules, fallback, excluded, match_null_base, watch)
     carry = [
         "study_protocol", "parent_depot", "site_id", "subject_number", "subject_status",
         "subject_country", "randomized_treatment", "tpc", "drug_dispensed",

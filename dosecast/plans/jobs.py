@@ -1,8 +1,10 @@
 """The jobs from end to end: decrypt, curate, plan and status, over one or many snapshots.
 
-Each takes DataFrames and a target folder of the session's file system and replaces only the
-dates (or studies) that it has rows for, so a job may run again. An input without any row is an
-error, since it would pass for an empty report.
+Each takes DataFrames and a target folder of the session's file system. Its tables are versioned
+(``operators/versions.py``): a write replaces the dates (or studies) that the job was given, as a
+whole or not at all, so a job may run again, and a date whose rows vanished becomes empty. Every
+job appends the rows of its steps to a run table. An input without any row is an error, since it
+would pass for an empty report.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ from pyspark.sql import functions as F
 
 from dosecast.functions import rows as row_ops
 from dosecast.functions import text
+from dosecast.operators import match, versions
 from dosecast.operators.joins import broadcast_if_small
-from dosecast.operators.snapshots import latest_members, latest_snapshot, replace_partitions
+from dosecast.operators.snapshots import latest_members, latest_snapshot, snapshot_range
+from dosecast.operators.steps import StepCounts
 from dosecast.plans.curate import LINEAGE, curate_reports
-from dosecast.plans.demand import plan_demand
+from dosecast.plans.demand import plan_demand, prepare_subjects
 from dosecast.plans.status import load_status
 from dosecast.schemas import PLAN_TABLE, REPORTS, STATUS_SCHEMA, STATUS_TABLE
 from dosecast.sources import envelope
@@ -27,12 +31,28 @@ from dosecast.sources import files as file_ops
 # Columns without which a rule serves nobody.
 REQUIRED_RULE_COLUMNS = ("dispensing_quantity", "dispensing_frequency_days", "visit_days")
 REJECTS = "rejected_reports"
+LANDING = "landed_files"
+LEDGER = "loaded_files"
+STEPS = "run_steps"
+# Column by which each table is cut, of those not cut by date.
+CUT_BY = {PLAN_TABLE: "study_name"}
+DATE = "extract_date"
 
 
 def table_path(target: str, table: str) -> str:
     return f"{target.rstrip('/')}/{table}"
 
 
+def read_table(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """A table that a job wrote, as it is now."""
+    return versions.read_table(spark, table_path(target, table), None, CUT_BY.get(table, DATE))
+
+
+def run_steps(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of the steps of all runs: ``run_at, job, step_no, step, row_count``."""
+    return spark.read.parquet(table_path(target, STEPS))
+
+
 def refuse_empty(df: DataFrame, what: str) -> DataFrame:
     """The DataFrame itself; a ValueError where it has no row."""
     if df.isEmpty():
@@ -40,32 +60,86 @@ def refuse_empty(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
-def snapshot_files(spark: SparkSession, root: str, folders: str = "*", pattern: str = "*") -> DataFrame:
-    """Files with content in the date folders of ``root``; an error where there are none."""
+def _distinct(df: DataFrame, column: str) -> list:
+    """The values by which a table is cut, calendar days or studies: a short list."""
+    return [r[0] for r in df.select(column).distinct().collect()]
+
+
+def snapshot_files(
+    spark: SparkSession,
+    root: str,
+    folders: str = "*",
+    pattern: str = "*",
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    historical: bool = True,
+    ledger: DataFrame | None = None,
+    max_bytes: int = file_ops.MAX_FILE_BYTES,
+) -> DataFrame:
+    """Files of the date folders of ``root`` from ``start`` to ``end``, with content and
+    ``too_large`` (then without); of the newest date alone unless ``historical``.
+
+    Dates are chosen from the listing, before content is read. With a ``ledger`` (that of
+    ``record_files``) only the dates whose files changed since come, whole; no row if none did.
+    An error where no date folder of the range has a file.
+    """
     listed = file_ops.describe_paths(file_ops.list_files(spark, root, folders, pattern))
-    refuse_empty(listed.where("extract_date is not null"), f"files in date folders of {root}")
-    found = file_ops.describe_paths(file_ops.read_files(spark, root, folders, pattern))
-    return found.where(F.col("extract_date").isNotNull())
+    dated = listed.where(F.col(DATE).isNotNull())
+    chosen = snapshot_range(dated, DATE, start, end, historical)
+    refuse_empty(chosen, f"files in date folders of {root}")
+    names = _distinct(file_ops.changed_dates(chosen, ledger), "folder")
+    read = file_ops.read_bounded_files(spark, root, names or folders, pattern, max_bytes)
+    return file_ops.describe_paths(read if names else read.limit(0)).where(F.col(DATE).isNotNull())
 
 
-def decrypt_snapshots(files: DataFrame, key: DataFrame, landing: str) -> None:
+def record_files(files: DataFrame, target: str) -> None:
+    """Note in the ledger of ``target`` that these files, whole dates of them, were loaded. To be
+    called last: a run that stops before it loads its dates again."""
+    seen = files.select(*file_ops.LEDGER)
+    versions.replace_values(seen, table_path(target, LEDGER), DATE, _distinct(seen, DATE))
+
+
+def loaded_files(spark: SparkSession, target: str) -> DataFrame | None:
+    """The ledger of ``target``; None before the first load."""
+    if versions.table_schema(spark, table_path(target, LEDGER)) is None:
+        return None
+    return read_table(spark, target, LEDGER)
+
+
+def decrypt_snapshots(
+    files: DataFrame, key: DataFrame, target: str, run_at: dt.datetime | None = None
+) -> None:
     """Decrypt ``extract_date, study_name, file_name, content`` rows into the landing table.
 
-    Files that cannot be opened land as rows without content and ``success`` false.
+    Files that cannot be opened land as rows without content and ``success`` false. ``reason``
+    tells ``too_large`` (if ``files`` has that column) from ``not_opened``.
     """
-    chosen = files.select("extract_date", "study_name", "file_name", "content")
+    spark, large = files.sparkSession, F.lit(False)
+    if "too_large" in files.columns:
+        large = F.coalesce("too_large", large)
+    chosen = files.select(DATE, "study_name", "file_name", "content", large.alias("too_large"))
     opened = envelope.decrypt_files(refuse_empty(chosen, "encrypted files"), key)
-    replace_partitions(opened, landing, "extract_date")
+    reason = F.when(F.col("too_large"), "too_large").when(~F.col("success"), "not_opened")
+    steps = StepCounts()
+    landed = steps.watch(
+        opened.withColumn("reason", reason).drop("too_large"),
+        files=F.count(F.lit(1)),
+        opened=F.count_if("success"),
+    )
+    versions.replace_values(landed, table_path(target, LANDING), DATE, _distinct(chosen, DATE))
+    steps.write(spark, table_path(target, STEPS), "decrypt", run_at)
 
 
 def landed_files(landing: DataFrame) -> DataFrame:
-    """Opened files of the landing table, as ``curate_snapshots`` takes them."""
-    name = F.col("output_name")
+    """Opened files of the landing table, as ``curate_snapshots`` takes them.
+
+    The path is that of the encrypted file, so two files that open to one name stay apart.
+    """
     return landing.where("success").select(
-        F.concat_ws("/", F.date_format("extract_date", "yyyyMMdd"), "study_name", name).alias("path"),
-        "extract_date",
+        F.concat_ws("/", F.date_format(DATE, "yyyyMMdd"), "study_name", "file_name").alias("path"),
+        DATE,
         "study_name",
-        name.alias("file_name"),
+        F.col("output_name").alias("file_name"),
         "content",
     )
 
@@ -77,27 +151,66 @@ def curate_snapshots(
     studies: Sequence[str] = (),
     processed_at: dt.datetime | None = None,
     code_pattern: str = text.STUDY_CODE_PATTERN,
+    drift: str = "same",
 ) -> None:
     """Curate the newest report of each date, study folder and type into its table.
 
-    ``files`` has ``path, extract_date, study_name, file_name, content``; ``sheets`` maps a file
-    type to its long header sheet. Files that are rejected go to the table of rejects.
+    ``files`` has ``path, extract_date, study_name, file_name, content``, a path once; ``sheets``
+    maps a file type to its long header sheet. Files that are rejected go to the table of rejects.
+
+    A date is replaced in the table of a type if the input has a report of that type for it, and
+    in the table of rejects if it has any file. ``drift`` is the rule for changed columns.
     """
-    dated = file_ops.allow_list(files.where(F.col("extract_date").isNotNull()), studies)
+    spark = files.sparkSession
+    dated = file_ops.allow_list(files.where(F.col(DATE).isNotNull()), studies)
     # The choice needs names only, so no content is read for it or shuffled by it.
     newest = refuse_empty(
-        file_ops.latest_by_name(dated.drop("content")).select("path", "file_type"), "report files"
+        file_ops.latest_by_name(dated.drop("content")).select("path", "file_type", DATE), "report files"
     )
-    chosen = dated.select("path", "extract_date", "file_name", "content").join(
-        broadcast_if_small(newest), "path"
+    # Calendar days of five types.
+    dates: dict[str, list] = {t: [] for t in REPORTS}
+    for r in newest.select("file_type", DATE).distinct().collect():
+        dates[r.file_type].append(r[DATE])
+    chosen = dated.select("path", DATE, "file_name", "content").join(
+        broadcast_if_small(newest.drop(DATE)), "path"
     )
-    rejects = []
+    rejects, steps = [], StepCounts()
     for file_type, (_, table) in REPORTS.items():
         one = chosen.where(F.col("file_type") == file_type).drop("file_type")
         rows, bad = curate_reports(one, file_type, sheets.get(file_type), processed_at, code_pattern)
-        replace_partitions(rows, table_path(target, table), "extract_date")
+        path = table_path(target, table)
+        steps.add(table, versions.replace_values(rows, path, DATE, dates[file_type], drift=drift))
         rejects.append(bad.select(*LINEAGE, "file_type", "reason"))
-    replace_partitions(row_ops.union_all(rejects), table_path(target, REJECTS), "extract_date")
+    told = row_ops.union_all(rejects)
+    steps.add(
+        REJECTS, versions.replace_values(told, table_path(target, REJECTS), DATE, _distinct(dated, DATE))
+    )
+    steps.write(spark, table_path(target, STEPS), "curate", processed_at)
+
+
+def curate_folder(
+    spark: SparkSession,
+    root: str,
+    target: str,
+    sheets: Mapping[str, DataFrame],
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    historical: bool = False,
+    max_bytes: int = file_ops.MAX_FILE_BYTES,
+    **options,
+) -> list[dt.date]:
+    """Curate the plain report files below ``root`` whose dates changed since the last load; the
+    dates loaded. A run without a change opens no file. ``options`` are those of
+    ``curate_snapshots``; files over ``max_bytes`` are rejected as they have no text."""
+    files = snapshot_files(
+        spark, root, start=start, end=end, historical=historical,
+        ledger=loaded_files(spark, target), max_bytes=max_bytes,
+    )
+    dates = sorted(_distinct(files.select(DATE), DATE))
+    if dates:
+        curate_snapshots(files, target, sheets, **options)
+        record_files(files, target)
+    return dates
 
 
 def status_snapshots(
@@ -106,25 +219,36 @@ def status_snapshots(
     tables: Mapping[str, DataFrame],
     target: str,
     sponsor: str,
+    run_at: dt.datetime | None = None,
 ) -> None:
     """Write the status of every report of the study list for each date of the listing.
 
     A date of the listing is a calendar day, so the list of them stays short. A study counts as
     loaded if it is in the newest snapshot of its table.
     """
-    dated = listing.where(F.col("extract_date").isNotNull())
-    refuse_empty(dated.select("extract_date"), "listed files")
-    days = dated.agg(F.collect_set("extract_date")).scalar()
+    spark = listing.sparkSession
+    dated = listing.where(F.col(DATE).isNotNull())
+    refuse_empty(dated.select(DATE), "listed files")
+    days = dated.agg(F.collect_set(DATE)).scalar()
     status = load_status(
-        refuse_empty(study_list, "study list").withColumn("extract_date", F.explode(days)),
+        refuse_empty(study_list, "study list").withColumn(DATE, F.explode(days)),
         file_ops.latest_reports(dated),
         latest_members(tables),
         list(tables),
         None,
         sponsor,
     )
-    fitted = row_ops.fit_schema(status, STATUS_SCHEMA)
-    replace_partitions(fitted, table_path(target, STATUS_TABLE), "extract_date", ["s_no"])
+    steps = StepCounts()
+    fitted = steps.watch(
+        row_ops.fit_schema(status, STATUS_SCHEMA),
+        reports=F.count(F.lit(1)),
+        with_file=F.count("file_name"),
+        loaded=F.count_if("load_successful"),
+    )
+    versions.replace_values(
+        fitted, table_path(target, STATUS_TABLE), DATE, _distinct(dated, DATE), sort=["s_no"]
+    )
+    steps.write(spark, table_path(target, STEPS), "status", run_at)
 
 
 def plan_snapshot(
@@ -132,13 +256,26 @@ def plan_snapshot(
     rules: DataFrame,
     target: str,
     required: Sequence[str] = REQUIRED_RULE_COLUMNS,
+    processed_at: dt.datetime | None = None,
     **options,
 ) -> None:
     """Plan the newest snapshot of the subjects with the rules that have all required columns.
 
+    The plan of every study of the snapshot is replaced; a study without a visit has none then.
     ``options`` are those of ``plan_demand``.
     """
+    spark = subjects.sparkSession
     newest = latest_snapshot(refuse_empty(subjects, "subjects"))
     usable = row_ops.require(refuse_empty(rules, "rules"), required)
-    plan = plan_demand(newest, usable, **options)
-    replace_partitions(plan, table_path(target, PLAN_TABLE), "study_name", ["subject_number", "cycle", "day"])
+    steps = StepCounts()
+    plan = plan_demand(newest, usable, processed_at=processed_at, watch=steps.watch, **options)
+    named = match.normalise(prepare_subjects(newest), ["study_protocol"])
+    written = versions.replace_values(
+        plan,
+        table_path(target, PLAN_TABLE),
+        "study_name",
+        _distinct(named, "study_protocol"),
+        sort=["subject_number", "cycle", "day"],
+    )
+    steps.add("visits", written)
+    steps.write(spark, table_path(target, STEPS), "plan", processed_at)

@@ -293,6 +293,26 @@ def atomic_overwrite(spark, sf):
     return versions.read_table(spark, path, m.schema, "extract_date")
 
 
+def schema_drift(spark, sf):
+    """A table under changing columns: a new column and a changed type are refused and leave it as
+    it is, then a new column widens it, and a write without that column leaves it null."""
+    path = scratch(spark, "drift")
+    m = dated(spark, sf)
+    versions.replace_all(m, path, "extract_date")
+    last = m.where(F.col("extract_date") == F.lit(LAST))
+    wider = last.withColumn("name_size", F.length("study_protocol"))
+    for bad, drift in ((wider, "same"), (last.withColumn("study_protocol", F.lit(1)), "widen")):
+        try:
+            versions.replace_values(bad, path, "extract_date", [LAST], drift=drift)
+        except ValueError:
+            continue
+        raise AssertionError("columns that differ went through")
+    versions.replace_values(wider, path, "extract_date", [LAST], drift="widen")
+    first = m.where(F.col("extract_date") == F.lit(FIRST)).withColumn("event_type", F.lit("late"))
+    versions.replace_values(first, path, "extract_date", [FIRST], drift="widen")
+    return versions.read_table(spark, path, None, "extract_date")
+
+
 def csv_roundtrip(spark, sf):
     path = scratch(spark, "csv")
     t = frame(spark, sf, "texts").select("id", "raw_text", "raw_days", "raw_date")
@@ -327,6 +347,7 @@ QUERIES = {
     "atomic_replace": atomic_replace,
     "vanished_values": vanished_values,
     "atomic_overwrite": atomic_overwrite,
+    "schema_drift": schema_drift,
     "csv_roundtrip": csv_roundtrip,
 }
 
@@ -470,5 +491,8 @@ ORACLES = {
     + f""", t as (select event_type, row_number() over (order by event_type) as n from (select distinct event_type from members))
       select m.* from members m join t using (event_type) where n > 3 or (n = 1 and extract_date > date '{LAST}')""",
     "atomic_overwrite": MEMBERS + f"select * from members where extract_date < date '{FIRST}'",
+    "schema_drift": MEMBERS
+    + f"""select case when extract_date = date '{FIRST}' then 'late' else event_type end as event_type, study_protocol, extract_date,
+      case when extract_date = date '{LAST}' then cast(length(study_protocol) as int) end as name_size from members""",
     "csv_roundtrip": cte("texts") + "select id, raw_text, raw_days, raw_date from texts",
 }

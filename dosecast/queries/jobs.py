@@ -120,7 +120,7 @@ def curate_job(spark, sf):
         jobs.curate_snapshots(landed(spark, sf), target, {"subject": sheet}, processed_at=STAMP)
 
     def back(table):
-        return spark.read.parquet(jobs.table_path(target, table)).withColumn("table_name", F.lit(table))
+        return jobs.read_table(spark, target, table).withColumn("table_name", F.lit(table))
 
     rows = [
         back(table).select("table_name", "study_protocol", "country", "source_file", "extract_date")
@@ -142,7 +142,7 @@ def decrypt_landing(spark, sf):
         "content",
     )
     jobs.decrypt_snapshots(files, reading.key(spark), target)
-    return spark.read.parquet(target).select(
+    return jobs.read_table(spark, target, jobs.LANDING).select(
         "extract_date", "study_name", "file_name", "success", "mode", "base64_decoded", "file_type",
         "output_name", F.md5("content").alias("content_md5"),
     )
@@ -157,12 +157,10 @@ def status_job(spark, sf):
         target,
         "Sponsor",
     )
-    return spark.read.parquet(jobs.table_path(target, STATUS_TABLE))
+    return jobs.read_table(spark, target, STATUS_TABLE)
 
 
-def plan_job(spark, sf):
-    """The plan from the rules table as it is; the job leaves unusable rules out."""
-    target = scratch(spark, "plan")
+def planned(spark, sf, target):
     jobs.plan_snapshot(
         frame(spark, sf, "subjects"),
         frame(spark, sf, "rules"),
@@ -171,7 +169,58 @@ def plan_job(spark, sf):
         horizon_days=HORIZON,
         processed_at=planning.STAMP,
     )
-    return spark.read.parquet(jobs.table_path(target, PLAN_TABLE)).drop("processed_timestamp")
+
+
+def plan_job(spark, sf):
+    """The plan from the rules table as it is; the job leaves unusable rules out."""
+    target = scratch(spark, "plan")
+    planned(spark, sf, target)
+    return jobs.read_table(spark, target, PLAN_TABLE).drop("processed_timestamp")
+
+
+def step_counts(spark, sf):
+    """Rows of every step of two runs of the plan job, counted while they ran."""
+    target = scratch(spark, "steps")
+    for _ in range(2):
+        planned(spark, sf, target)
+    return jobs.run_steps(spark, target).select("job", "step_no", "step", "row_count")
+
+
+def vanished_rejects(spark, sf):
+    """Rejects of two days; then all files of the second day are good, and its rejects are gone."""
+    target = scratch(spark, "rejects")
+    sheet = reading.study_sheet(spark, sf, reading.specs_for_subjects())
+    files = landed(spark, sf)
+    jobs.curate_snapshots(files, target, {"subject": sheet.where("file_no % 3 <> 2")}, processed_at=STAMP)
+    again = files.where(F.col("extract_date") > F.lit(DAY))
+    jobs.curate_snapshots(again, target, {"subject": sheet}, processed_at=STAMP)
+    return jobs.read_table(spark, target, jobs.REJECTS).select("study_code", "extract_date", "reason")
+
+
+def load_range(spark, sf):
+    """Lines of the date folders of a range, by two runs with a ledger. Before the second, one
+    date gets another file; it reads that date again and no other."""
+    root, target = scratch(spark, "folders"), scratch(spark, "ledger")
+    days = [DAY + dt.timedelta(days=i) for i in range(5)]
+    rows = reading.customer(spark, sf).select("c_custkey", F.col("c_name").alias("line"))
+
+    def put(part, day, study):
+        folder = f"{root}/{day:%Y%m%d}/Sponsor {study}"
+        part.select("line").coalesce(1).write.mode("append").text(folder)
+
+    for i, day in enumerate(days):
+        put(rows.where(F.col("c_custkey") % 5 == i), day, "A")
+    loads = []
+    for run in range(2):
+        files = jobs.snapshot_files(
+            spark, root, pattern="part-*", start=days[1], end=days[3], ledger=jobs.loaded_files(spark, target)
+        )
+        lines = files.select("extract_date", "study_name", F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line"))
+        loads.append(lines.where("line <> ''").withColumn("run", F.lit(run)))
+        loads[-1].write.parquet(f"{target}/run-{run}")
+        jobs.record_files(files, target)
+        put(rows.where(F.col("c_custkey") % 5 == 0), days[2], "B")
+    return spark.read.schema(loads[0].schema).parquet(f"{target}/run-0", f"{target}/run-1")
 
 
 QUERIES = {
@@ -184,6 +233,9 @@ QUERIES = {
     "decrypt_landing": decrypt_landing,
     "status_job": status_job,
     "plan_job": plan_job,
+    "step_counts": step_counts,
+    "vanished_rejects": vanished_rejects,
+    "load_range": load_range,
 }
 
 # --- the same in SQL -------------------------------------------------------------------
@@ -272,4 +324,23 @@ ORACLES = {
         and st.subreport_name is not distinct from f.subreport_name
       left join present p on st.target_table = p.tab and st.study_protocol = p.study_protocol""",
     "plan_job": planning.ORACLES["flagship_projection"],
+    "step_counts": planning.rolled_ctes(planning.RULE_FILTER)
+    + planning.visit_ctes("rolled", "parsed_last_visit_cycle", "parsed_last_visit_day")
+    + """select t.*, 'plan' as job from (select unnest([
+        {'step_no': 0, 'step': 'subjects', 'row_count': (select count(*) from subjects)},
+        {'step_no': 1, 'step': 'active', 'row_count': (select count(*) from s)},
+        {'step_no': 2, 'step': 'scoped', 'row_count': (select count(*) from m where rule_scope = 0)},
+        {'step_no': 3, 'step': 'generic', 'row_count': (select count(*) from m where rule_scope = 1)},
+        {'step_no': 4, 'step': 'not_overridden', 'row_count': (select count(*) from kept)},
+        {'step_no': 5, 'step': 'with_drug', 'row_count': (select count(*) from needed)},
+        {'step_no': 6, 'step': 'subject_drugs', 'row_count': (select count(*) from rolled)},
+        {'step_no': 7, 'step': 'visits', 'row_count': (select count(*) from visit)}], recursive := true)) t, range(2)""",
+    "vanished_rejects": reading.CUSTOMER
+    + f"""select distinct {reading.SQL_CODE} as study_code, date '{DAY}' as extract_date, 'no_header_mapping' as reason
+      from c where file_no % 3 = 2""",
+    "load_range": f"""with p as (select c_name as line, date '{DAY}' + cast(c_custkey % 5 as int) as extract_date from customer),
+      x as (select line, extract_date, 'Sponsor A' as study_name from p
+        union all select line, date '{DAY}' + 2, 'Sponsor B' from p where extract_date = date '{DAY}')
+      select *, 0 as run from x where study_name = 'Sponsor A' and extract_date between date '{DAY}' + 1 and date '{DAY}' + 3
+      union all select *, 1 as run from x where extract_date = date '{DAY}' + 2""",
 }

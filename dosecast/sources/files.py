@@ -31,15 +31,39 @@ TARGET_TABLES = (
 NO_TARGET = "NA"
 
 
-def read_files(spark: SparkSession, root: str, folders: str = "*", pattern: str = "*") -> DataFrame:
+# Content of a file is one value of one row; a longer file is not opened.
+MAX_FILE_BYTES = 512 << 20
+
+
+def read_files(
+    spark: SparkSession, root: str, folders: str | Sequence[str] = "*", pattern: str = "*"
+) -> DataFrame:
     """The files directly in each date folder and one level below, with their content.
 
-    ``folders`` is a glob over date folders, ``pattern`` one over file names.
+    ``folders`` is a glob over date folders, or a list of them, ``pattern`` one over file names.
     """
+    chosen = [folders] if isinstance(folders, str) else folders
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
-        .load(f"{root.rstrip('/')}/{folders}/*")
+        .load([f"{root.rstrip('/')}/{f}/*" for f in chosen])
+    )
+
+
+def read_bounded_files(
+    spark: SparkSession,
+    root: str,
+    folders: str | Sequence[str] = "*",
+    pattern: str = "*",
+    max_bytes: int = MAX_FILE_BYTES,
+) -> DataFrame:
+    """``read_files`` with ``too_large``: files over ``max_bytes`` are listed and not opened, and
+    have null content. Spark tells the length before it opens a file."""
+    listed = read_files(spark, root, folders, pattern)
+    small = listed.where(F.col("length") <= max_bytes).withColumn("too_large", F.lit(False))
+    large = listed.where(F.col("length") > max_bytes).drop("content")
+    return small.unionByName(
+        large.withColumns({"content": F.lit(None).cast("binary"), "too_large": F.lit(True)})
     )
 
 
@@ -83,6 +107,33 @@ def snapshot_catalogue(listing: DataFrame) -> DataFrame:
     )
 
 
+LEDGER = ("extract_date", "path", "modificationTime", "length")
+
+
+def changed_dates(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """``extract_date`` and ``folder`` of the listing's dates whose files are not those of the
+    ledger: a file is new, gone, or has another time or length. Without a ledger, all dates.
+
+    ``listing`` has ``folder`` and the columns of the ledger. Dates that only the ledger has are
+    not told.
+    """
+    dated = listing.where(F.col("extract_date").isNotNull())
+    if ledger is None:
+        return dated.select("extract_date", "folder").distinct()
+    # One aggregate tells both directions: a file that only one side has is there once.
+    both = dated.select(*LEDGER, F.col("folder")).unionByName(
+        ledger.select(*LEDGER, F.lit(None).cast("string").alias("folder"))
+    )
+    return (
+        both.groupBy(*LEDGER)
+        .agg(F.max("folder").alias("folder"), F.count(F.lit(1)).alias("_sides"))
+        .groupBy("extract_date")
+        .agg(F.max("folder").alias("folder"), F.min("_sides").alias("_least"))
+        .where("_least < 2 AND folder IS NOT NULL")
+        .select("extract_date", "folder")
+    )
+
+
 def allow_list(df: DataFrame, studies: Sequence[str], column: str = "study_name") -> DataFrame:
     """Keep the listed studies; an empty list keeps all."""
     return df.where(F.col(column).isin(*studies)) if studies else df

@@ -199,3 +199,53 @@ def test_snapshot_files_needs_a_date_folder(spark, tmp_path):
     (tmp_path / "20251106" / "Sponsor X" / "b.csv").write_text("a,b\n")
     found = jobs.snapshot_files(spark, str(tmp_path)).select("file_name", "study_name").collect()
     assert [tuple(r) for r in found] == [("b.csv", "Sponsor X")]
+
+
+DEPOT_FILE = "Title,\nDepot ID,Land,FP Expiry Date\n1,{},05-Nov-2025\n"
+
+
+def test_curate_folder_reads_changed_dates(spark, tmp_path):
+    root, target = tmp_path / "in", str(tmp_path / "out")
+
+    def put(day, code, body, study="Co"):
+        folder = root / day / study
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"Co {code}_Depot Inventory 2025-11-06-01-00-00.csv").write_text(body)
+
+    def run(**options):
+        return jobs.curate_folder(spark, str(root), target, {}, processed_at=dt.datetime(2025, 11, 6), **options)
+
+    def rows(table="clinical_depot_inventory"):
+        return sorted((str(r.extract_date), r.study_code if table == jobs.REJECTS else r.study_protocol)
+                      for r in jobs.read_table(spark, target, table).collect())
+
+    for day in ("20251105", "20251106", "20251107"):
+        put(day, "AB-CD-1-2", DEPOT_FILE.format(day))
+    put("20251106", "AB-CD-3-4", DEPOT_FILE.format("x" * 5000), "Large")
+    d5, d6, d7 = (dt.date(2025, 11, d) for d in (5, 6, 7))
+    # The newest date alone, then a range; files over the bound are not opened.
+    assert run(max_bytes=1000) == [d7] and rows() == [("2025-11-07", "AB-CD-1-2")]
+    assert run(start=d6, historical=True, max_bytes=1000) == [d6]
+    assert rows() == [("2025-11-06", "AB-CD-1-2"), ("2025-11-07", "AB-CD-1-2")]
+    assert rows(jobs.REJECTS) == [("2025-11-06", "AB-CD-3-4")]
+    assert run(start=d6, historical=True) == []
+    # A changed file makes its date come again, whole, and its rejects go.
+    put("20251106", "AB-CD-3-4", DEPOT_FILE.format("Land"), "Large")
+    assert run(end=d6, historical=True, max_bytes=1000) == [d5, d6]
+    assert rows() == [("2025-11-05", "AB-CD-1-2"), ("2025-11-06", "AB-CD-1-2"), ("2025-11-06", "AB-CD-3-4"), ("2025-11-07", "AB-CD-1-2")]
+    assert rows(jobs.REJECTS) == []
+    assert run(historical=True) == []
+    steps = jobs.run_steps(spark, target).where("step = 'clinical_depot_inventory'").collect()
+    assert sorted(r.row_count for r in steps) == [1, 1, 3]
+
+
+def test_landing_tells_why_and_keeps_files_apart(spark, tmp_path):
+    secret = envelope.key_frame(spark, "MDEyMzQ1Njc4OWFiY2RlZg==")
+    rows = [(D1, "S", "a.enc", None, True), (D1, "S", "b.enc", b"no envelope", False)]
+    columns = "extract_date date, study_name string, file_name string, content binary, too_large boolean"
+    jobs.decrypt_snapshots(spark.createDataFrame(rows, columns), secret, str(tmp_path))
+    found = {r.file_name: (r.success, r.reason) for r in jobs.read_table(spark, str(tmp_path), jobs.LANDING).collect()}
+    assert found == {"a.enc": (False, "too_large"), "b.enc": (False, "not_opened")}
+    twins = [(D1, "S", n, True, "x.csv", b"") for n in ("x.csv.enc", "x.enc")]
+    landing = spark.createDataFrame(twins, "extract_date date, study_name string, file_name string, success boolean, output_name string, content binary")
+    assert jobs.landed_files(landing).select("path").distinct().count() == 2

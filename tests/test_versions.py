@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 import __spark_entry__ as entry_points
-from dosecast.operators import versions
+from dosecast.operators import steps, versions
 from dosecast.sources import files
 
 SCHEMA = StructType([StructField("id", LongType()), StructField("day", DateType())])
@@ -78,3 +78,37 @@ def test_generated_code_compiles(spark, name):
         entry_points.queries()[name](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
     finally:
         spark.conf.set("spark.sql.codegen.fallback", before)
+
+
+def test_columns_that_change(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError, match="no table"):
+        versions.read_table(spark, path, None, "day")
+    versions.replace_all(frame(spark, (1, A), (2, B)), path, "day")
+    wide = frame(spark, (3, B)).withColumn("note", F.lit("n"))
+    typed = frame(spark, (3, B)).withColumn("id", F.lit("x"))
+    for bad, drift in ((wide, "same"), (typed, "same"), (typed, "widen"), (frame(spark).drop("id"), "same")):
+        with pytest.raises(ValueError, match="columns differ"):
+            versions.replace_values(bad, path, "day", [B], drift=drift)
+    with pytest.raises(ValueError, match="all rows"):
+        versions.replace_values(typed, path, "day", [B], drift="replace")
+    with pytest.raises(ValueError, match="drift"):
+        versions.replace_all(typed, path, "day", drift="any")
+    assert table(spark, path) == [(1, A), (2, B)]
+    assert versions.replace_values(wide, path, "day", [B], drift="widen") == 1
+    versions.replace_values(frame(spark, (4, C)).select("day", "id"), path, "day", [C], drift="widen")
+    rows = versions.read_table(spark, path, None, "day").select("id", "day", "note").collect()
+    assert sorted(map(tuple, rows)) == [(1, A, None), (3, B, "n"), (4, C, None)]
+    versions.replace_all(typed, path, "day", drift="replace")
+    found = versions.read_table(spark, path, None, "day")
+    assert found.columns == ["id", "day"] and [r.id for r in found.collect()] == ["x"]
+
+
+def test_steps_are_counted(spark):
+    counts = steps.StepCounts()
+    rows = counts.watch(spark.range(10), read=steps.rows(), even=F.count_if(F.col("id") % 2 == 0))
+    kept = counts.watch(rows.where("id > 3"), kept=steps.rows())
+    kept.groupBy().count().collect()
+    counts.watch(spark.range(3), never=steps.rows())
+    counts.add("known", 5)
+    assert counts.counts(wait=0.5) == {"read": 10, "even": 5, "kept": 6, "never": None, "known": 5}
