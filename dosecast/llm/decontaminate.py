@@ -13,6 +13,7 @@ however many there are.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dosecast.llm import words
 from dosecast.llm.common import materialise, ship
@@ -153,22 +155,42 @@ def match_phrase(lists: list[np.ndarray], offsets: np.ndarray) -> np.ndarray:
     return starts
 
 
-def near_phrase(lists: list[np.ndarray], span: int) -> np.ndarray:
-    """Positions of a phrase's rarest term that have all its other terms less than ``span``
-    words away, in any order."""
+def near_phrase(lists: list[np.ndarray], counts: list[int], span: int) -> np.ndarray:
+    """Occurrences of a phrase's terms inside any ``span`` consecutive words that hold each of them
+    at least as often as the phrase does, in any order. One posting list per distinct term."""
     order = sorted(range(len(lists)), key=lambda k: len(lists[k]))
-    anchors = lists[order[0]]
-    for k in order[1:]:
-        other = lists[k]
-        at = np.searchsorted(other, anchors - span + 1)
-        anchors = anchors[(at < len(other)) & (other[np.minimum(at, len(other) - 1)] < anchors + span)]
-    return anchors
+    lists, counts = [lists[k] for k in order], [counts[k] for k in order]
+
+    def held(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which of the stretches from ``low`` up to ``high`` hold enough of every term."""
+        enough = np.ones(len(low), bool)
+        for found, n in zip(lists, counts, strict=True):
+            some = np.flatnonzero(enough)
+            inside = np.searchsorted(found, high[some]) - np.searchsorted(found, low[some])
+            enough[some] = inside >= n
+        return enough
+
+    def between(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        parts = [
+            found[i:j]
+            for found in lists
+            for i, j in zip(np.searchsorted(found, low), np.searchsorted(found, high), strict=True)
+        ]
+        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+
+    # The rarest term leaves few places to look at; a stretch can end at a term.
+    rare = lists[0]
+    rare = rare[held(rare - span + 1, rare + span)]
+    ends = between(rare, rare + span)
+    ends = ends[held(ends - span + 1, ends + 1)]
+    return between(ends - span + 1, ends + 1)
 
 
 def search(index: DataFrame, phrases: Phrases, span: int | None = None) -> DataFrame:
     """Occurrences of the phrases, one row per document that has any: ``block``, ``doc_row``,
     ``ranges``
-    (first word and end of the words inside occurrences, merged) and ``item_ids``. With ``span`` matches are by proximity, and the word hit is the rarest term.
+    (first word and end of the words inside occurrences, merged) and ``item_ids``. With ``span``
+    matches are by proximity, and the words hit are the phrase's terms inside the stretch.
     """
     held = index.sparkSession.sparkContext.broadcast(phrases)
 
@@ -194,10 +216,15 @@ def search(index: DataFrame, phrases: Phrases, span: int | None = None) -> DataF
         starts, lengths, owners = [], [], []
         terms, edges = p.terms.tolist(), p.starts.tolist()
         for i in range(len(p.items)):
-            mine = [lists.get(t) for t in terms[edges[i] : edges[i + 1]]]
-            if any(x is None for x in mine):
+            wanted = terms[edges[i] : edges[i + 1]]
+            often = dict.fromkeys(wanted, 1) if span is None else Counter(wanted)
+            if any(t not in lists for t in often):
                 continue
-            at = match_phrase(mine, np.arange(len(mine))) if span is None else near_phrase(mine, span)
+            mine = [lists[t] for t in (wanted if span is None else often)]
+            if span is None:
+                at = match_phrase(mine, np.arange(len(mine)))
+            else:
+                at = near_phrase(mine, list(often.values()), span)
             if len(at):
                 starts.append(at)
                 lengths.append(np.full(len(at), len(mine) if span is None else 1))
@@ -238,14 +265,28 @@ def search(index: DataFrame, phrases: Phrases, span: int | None = None) -> DataF
     )
 
 
-def merge_ranges(ranges: list) -> list[list[int]]:
-    out: list[list[int]] = []
-    for s, e in sorted(tuple(r) for r in ranges):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], int(e))
-        else:
-            out.append([int(s), int(e)])
-    return out
+def merge_hits(hits: DataFrame) -> DataFrame:
+    """The hits of several rounds as one row per document, overlapping ranges merged."""
+    doc = ["block", "doc_row"]
+    before = Window.partitionBy(*doc).orderBy("first", "end")
+    reached = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    upto = before.rowsBetween(Window.unboundedPreceding, 0)
+    ranges = (
+        hits.select(*doc, F.explode("ranges").alias("_r"))
+        .select(*doc, F.col("_r")[0].alias("first"), F.col("_r")[1].alias("end"))
+        .withColumn("_new", F.coalesce(F.col("first") > reached, F.lit(True)).cast("int"))
+        .withColumn("_part", F.sum("_new").over(upto))
+        .groupBy(*doc, "_part")
+        .agg(F.array(F.min("first"), F.max("end")).alias("range"))
+        .groupBy(*doc)
+        .agg(F.array_sort(F.collect_list("range")).alias("ranges"))
+    )
+    items = (
+        hits.select(*doc, F.explode("item_ids").alias("item_id"))
+        .groupBy(*doc)
+        .agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    )
+    return ranges.join(items, doc)
 
 
 def benchmark_hits(
@@ -254,6 +295,9 @@ def benchmark_hits(
     """One row per document: ``doc_id``, ``n_words``, ``n_hit`` (words inside an occurrence of a
     window of ``width`` item words), ``ranges`` of hit words, and ``item_ids``, sorted.
 
+    With ``span`` a window's words may stand anywhere, in any order, inside ``span`` consecutive
+    words of the document, each as often as in the window; the words hit are these.
+
     A null or empty text has no words and no hits; repeated rows are answered each by itself;
     without items, or without documents, nothing is hit. Items with a null id are left out.
     """
@@ -262,17 +306,13 @@ def benchmark_hits(
     rounds = max(1, -(-found.count() // PHRASES_PER_ROUND))
     first = phrase_round(found, rounds, 0) or Phrases(np.zeros(0, np.int64), np.zeros(1, np.int64), [], [])
     # One round, the usual case, stores the postings of its own terms only.
-    index = build_index(docs, np.unique(first.terms) if rounds == 1 else None, gap=width + 1)
+    index = build_index(docs, np.unique(first.terms) if rounds == 1 else None, gap=max(width, span or 0) + 1)
     hits = search(index, first, span)
     for n in range(1, rounds):
         if more := phrase_round(found, rounds, n):
             hits = hits.unionByName(materialise(search(index, more, span)))
     if rounds > 1:
-        merged = F.udf(merge_ranges, "array<array<long>>")(F.flatten(F.collect_list("ranges")))
-        hits = hits.groupBy("block", "doc_row").agg(
-            merged.alias("ranges"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-        )
+        hits = merge_hits(hits)
     rows = index.where("term IS NULL").select("block", "doc_row", "doc_id", "n_words")
     return rows.join(hits, ["block", "doc_row"], "left").select(
         "doc_id",

@@ -313,6 +313,44 @@ def test_proximity(spark):
     assert got == {1: ["9"], 2: []}
 
 
+def brute_near(docs, items, span, width):
+    win = defaultdict(set)
+    for i, t in items:
+        w = words_of(t)
+        for k in range(max(1, len(w) - width + 1) if w else 0):
+            win[tuple(w[k : k + width])].add(str(i))
+    out = []
+    for d, t in docs:
+        w, hit, found = words_of(t), set(), set()
+        for phrase, ids in win.items():
+            want = Counter(phrase)
+            for k in range(max(1, len(w) - span + 1)):
+                here = Counter(w[k : k + span])
+                if all(here[x] >= n for x, n in want.items()):
+                    found |= ids
+                    hit |= {j for j in range(k, min(k + span, len(w))) if w[j] in want}
+        out.append((d, len(w), len(hit), sorted(found)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("span", "rounds"), [(5, 1), (12, 1), (50, 1), (12, 4)])
+def test_proximity_equals_brute_force(spark, monkeypatch, span, rounds):
+    rng = random.Random(span)
+    text = lambda n, k: " ".join(f"w{rng.randrange(k)}" for _ in range(n))
+    # Repeated terms in a phrase, and phrases whose terms lie in neighbouring documents.
+    items = [(1, "alpha beta"), (2, "w1 w1 w2"), (3, "w3 w4 w5 w6"), (4, "w7"), (5, "w8 w8"), (6, ""), (7, text(6, 9))]
+    docs = [(i, text(rng.choice((0, 1, 3, 20, 90)), 14)) for i in range(80)]
+    docs += [(100, "alpha x"), (101, "y beta"), (102, "beta " + text(9, 60) + " alpha"), (103, None), (101, "y beta")]
+    if rounds > 1:
+        monkeypatch.setattr(decontaminate, "PHRASES_PER_ROUND", 2)
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    for table in (d, d.repartition(7)):
+        found = decontaminate.benchmark_hits(table, b, width=4, span=span).collect()
+        got = [(r.doc_id, r.n_words, r.n_hit, list(r.item_ids)) for r in found]
+        assert sorted(got, key=repr) == brute_near(docs, items, span, 4)
+
+
 # --- 7: near duplicates --------------------------------------------------------------------
 
 
