@@ -19,7 +19,10 @@ from dosecast.operators import steps
 from dosecast.operators.joins import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
+    ROWS_PER_TASK,
+    heavy_keys,
     lookup_join,
+    row_bytes,
 )
 from dosecast.operators.steps import unwatched
 
@@ -75,7 +78,7 @@ class RuleSize:
 
 def measure(rules: DataFrame) -> RuleSize:
     """Look at the rules, to choose how to join them."""
-    widths = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    widths = F.coalesce(F.sum(row_bytes(rules)), F.lit(0))
     return RuleSize(*rules.agg(F.count(F.lit(1)), widths, F.count_distinct(SCOPE)).first())
 
 
@@ -101,19 +104,29 @@ def _rule_side(rules: DataFrame) -> DataFrame:
     return fold_keys(rules).drop(*MATCH_KEYS, SCOPE)
 
 
-def match_scoped(subjects: DataFrame, rules: DataFrame, small: bool | None = None) -> DataFrame:
+def match_scoped(
+    subjects: DataFrame,
+    rules: DataFrame,
+    small: bool | None = None,
+    heavy: DataFrame | None = None,
+) -> DataFrame:
     """Folded subjects joined to the scoped rules of their keys and country."""
     side = _rule_side(scoped_rules(rules))
     joined = lookup_join(
-        subjects, side, [*FOLDED_KEYS, FOLDED_SCOPE], subjects.columns, "inner", small
+        subjects, side, [*FOLDED_KEYS, FOLDED_SCOPE], subjects.columns, "inner", small, heavy
     )
     return joined.withColumns({"subject_country": F.col(SCOPE), "rule_scope": F.lit(0)})
 
 
-def match_generic(subjects: DataFrame, rules: DataFrame, small: bool | None = None) -> DataFrame:
+def match_generic(
+    subjects: DataFrame,
+    rules: DataFrame,
+    small: bool | None = None,
+    heavy: DataFrame | None = None,
+) -> DataFrame:
     """Folded subjects joined to the generic rules of their keys."""
     side = _rule_side(generic_rules(rules)).drop(FOLDED_SCOPE)
-    joined = lookup_join(subjects, side, FOLDED_KEYS, subjects.columns, "inner", small)
+    joined = lookup_join(subjects, side, FOLDED_KEYS, subjects.columns, "inner", small, heavy)
     return joined.withColumns({"subject_country": F.col(SCOPE), "rule_scope": F.lit(1)})
 
 
@@ -138,7 +151,10 @@ def match_in_one_pass(subjects: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def without_scoped_match(
-    subjects: DataFrame, rules: DataFrame, small: bool | None = None
+    subjects: DataFrame,
+    rules: DataFrame,
+    small: bool | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Folded subjects that no scoped rule matches.
 
@@ -147,7 +163,7 @@ def without_scoped_match(
     """
     keys = [*FOLDED_KEYS, FOLDED_SCOPE]
     side = fold_keys(scoped_rules(rules)).select(*keys).distinct()
-    return lookup_join(subjects, side, keys, subjects.columns, "left_anti", small)
+    return lookup_join(subjects, side, keys, subjects.columns, "left_anti", small, heavy)
 
 
 def rule_base_names(rules: DataFrame) -> DataFrame:
@@ -216,14 +232,20 @@ def drop_overridden(
     rules: DataFrame,
     match_null_base: bool = False,
     size: RuleSize | None = None,
+    broadcast: bool | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
-    """Remove the folded matched rows whose drug is overridden in the subject's country."""
+    """Remove the folded matched rows whose drug is overridden in the subject's country.
+
+    ``heavy`` gives the heavy match keys of the subjects, so that the matched rows need not be
+    counted; ``broadcast=False`` never sends the overridden drugs to every executor."""
     size = size or measure(rules)
     gone = overridden_drugs(rules, match_null_base)
     keys = [*FOLDED_KEYS, FOLDED_SCOPE, DRUG]
     # A drug can be gone in each country at most, so the rules bound the list.
     small = size.small and size.rows * size.places <= BROADCAST_ROWS
-    return lookup_join(matched, gone, keys, matched.columns, "left_anti", small or None)
+    chosen = False if broadcast is False else small or None
+    return lookup_join(matched, gone, keys, matched.columns, "left_anti", chosen, heavy)
 
 
 def match_rules(
@@ -232,29 +254,35 @@ def match_rules(
     fallback: str = "all",
     match_null_base: bool = False,
     watch: Callable[..., DataFrame] = unwatched,
+    broadcast: bool | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """All matches of the subjects, overridden drugs removed.
 
     ``fallback="all"`` lets generic rules match every subject; ``"unmatched"`` only those
     without a scoped match. Rules that fit a broadcast meet the subjects in one pass.
-    ``watch`` counts the rows of the steps.
+    Others are shuffled to them, and match keys of more than ``rows_per_task`` subjects, counted
+    once on the subjects' key columns, spread over many tasks in each of the joins.
+    ``broadcast`` goes before the measured size; ``watch`` counts the rows of the steps.
     """
     if fallback not in ("all", "unmatched"):
         raise ValueError(f"fallback must be 'all' or 'unmatched', not {fallback!r}")
     size = measure(rules)
+    small = size.small if broadcast is None else broadcast
     folded = fold_keys(subjects)
-    if fallback == "all" and size.small:
+    heavy = None if small else heavy_keys(folded, FOLDED_KEYS, rows_per_task)
+    if fallback == "all" and small:
         matched = match_in_one_pass(folded, rules)
     else:
         rest = (
-            folded if fallback == "all" else without_scoped_match(folded, rules, size.small)
+            folded if fallback == "all" else without_scoped_match(folded, rules, small, heavy)
         )
-        matched = match_scoped(folded, rules, size.small).unionByName(
-            match_generic(rest, rules, size.small)
+        matched = match_scoped(folded, rules, small, heavy).unionByName(
+            match_generic(rest, rules, small, heavy)
         )
     scope = F.col("rule_scope")
     matched = watch(matched, scoped=F.count_if(scope == 0), generic=F.count_if(scope == 1))
-    kept = drop_overridden(matched, rules, match_null_base, size)
+    kept = drop_overridden(matched, rules, match_null_base, size, broadcast, heavy)
     return unfold(watch(kept, not_overridden=steps.rows()))
 
 

@@ -162,6 +162,27 @@ def scoped_override_null_base(spark, sf):
     return matched.select(*MATCHED, "rule_scope")
 
 
+def skewed_override(spark, sf):
+    """The matches by shuffled joins, as beyond the broadcast bound. The first study holds a third
+    of the subjects; its keys, and all others of over fifty rows, are cut into salts."""
+    matched = match.match_rules(
+        match.unfold(subjects(spark, sf)), rules(spark, sf), broadcast=False, rows_per_task=50
+    )
+    return matched.select(*MATCHED, "rule_scope")
+
+
+def skewed_unmatched(spark, sf):
+    """As ``skewed_override``, with generic rules for subjects without a scoped match only."""
+    matched = match.match_rules(
+        match.unfold(subjects(spark, sf)),
+        rules(spark, sf),
+        "unmatched",
+        broadcast=False,
+        rows_per_task=50,
+    )
+    return matched.select(*MATCHED, "rule_scope")
+
+
 def with_need(spark, sf):
     return match.add_need(
         match.match_rules(match.unfold(subjects(spark, sf)), rules(spark, sf))
@@ -286,6 +307,8 @@ QUERIES = {
     "fallback_anti": fallback_anti,
     "scoped_override": scoped_override,
     "scoped_override_null_base": scoped_override_null_base,
+    "skewed_override": skewed_override,
+    "skewed_unmatched": skewed_unmatched,
     "match_union": match_union,
     "need_per_cycle": need_per_cycle,
     "choose_first": choose_first,
@@ -315,7 +338,9 @@ LABEL = (
 
 
 def visit_ctes(source: str, cycle: str = CYCLE, day: str = DAY) -> str:
-    """CTEs that end in ``visit``: the rows of ``source`` times their visits."""
+    """CTEs that end in ``visit``: the rows of ``source`` times their visits. Every cycle up to
+    the horizon is written out, and past ones are filtered; no cycle is worked out in closed form.
+    """
     recorded = "last_study_visit_recorded"
     return f""",
 v1 as (
@@ -325,17 +350,24 @@ v1 as (
     case when max_cycles >= 1 then cast(floor(max_cycles) as int) end as cap
   from {source} where last_study_visit_date is not null and subject_number is not null),
 v2 as (select *, last_study_visit_date - (d0 - 1) as one from v1),
-v3 as (select *, case when one + per < date '{AS_OF}' then one + per + cast((floor((date '{AS_OF}' - (one + per)) / per) + 1) * per as int) else one + per end as start from v2),
-v4 as (select *, least(cast(floor((date '{AS_OF}' + {HORIZON} - start - (days[1] - 1)) / per) as int), cap - c0 - 1) as kmax from v3),
-v5 as (select *, unnest(generate_series(-1, greatest(kmax, -1))) as k from v4),
-v6 as (select *, unnest(days) as day from v5),
+v3 as materialized (select *, row_number() over () as visit_row from v2),
+ahead as (
+  select visit_row, cast(unnest(generate_series(cast(one + per as timestamp), cast(date '{AS_OF}' + {HORIZON} as timestamp), to_days(per))) as date) as start,
+    one + per as next_one from v3),
+later as (
+  select visit_row, start, row_number() over (partition by visit_row order by start) - 1 as k from ahead
+  where start > date '{AS_OF}' or next_one >= date '{AS_OF}'),
+v4 as (
+  select *, one as start, cast(-1 as bigint) as k from v3
+  union all select v3.*, later.start, later.k from v3 join later using (visit_row)),
+v6 as (select *, unnest(days) as day from v4),
 visit as (
   select *, cast(c0 + 1 + k as int) as cycle,
-    cast(case when k < 0 then one else start + cast(k * per as int) end + (day - 1) as date) as predicted_next_visit_date,
+    cast(start + (day - 1) as date) as predicted_next_visit_date,
     {LABEL.format(recorded, 'cast(c0 + 1 + k as int)', 'day')} as predicted_study_visit
   from v6
   where (k >= 0 or day > d0)
-    and case when k < 0 then one else start + cast(k * per as int) end + (day - 1) <= date '{AS_OF}' + {HORIZON}
+    and start + (day - 1) <= date '{AS_OF}' + {HORIZON}
     and (cap is null or c0 + 1 + k <= cap))
 """
 
@@ -525,6 +557,9 @@ ORACLES = {
     "scoped_override_null_base": kept_ctes(equals="is not distinct from")
     + f"select {MATCHED_SQL}, rule_scope from kept",
     "scoped_override": kept_ctes() + f"select {MATCHED_SQL}, rule_scope from kept",
+    "skewed_override": kept_ctes() + f"select {MATCHED_SQL}, rule_scope from kept",
+    "skewed_unmatched": kept_ctes(fallback="unmatched")
+    + f"select {MATCHED_SQL}, rule_scope from kept",
     "need_per_cycle": cte("rules")
     + f"select rule_no, cast(len({DAYS.format('visit_days')}) as int) as visits, len({DAYS.format('visit_days')}) * dispensing_quantity as need from rules",
     "choose_first": cte("rules")

@@ -224,3 +224,45 @@ def test_strip_equals_python(spark):
     samples = ["  a b　", "\t\x1cx\x85", " ", "", "é "]
     df = spark.createDataFrame([(s,) for s in samples], "s string")
     assert [r[0] for r in df.select(text.strip(F.col("s"))).collect()] == [s.strip() for s in samples]
+
+
+def test_heavy_keys_are_the_heaviest(spark, monkeypatch):
+    df = spark.range(1000).select(
+        "id", F.when(F.col("id") < 400, "hot").when(F.col("id") < 700, None).when(F.col("id") < 750, "warm")
+        .otherwise(F.col("id").cast("string")).alias("k")
+    )
+    found = {r.k: r._salts for r in joins.heavy_keys(df, ["k"], 100).collect()}
+    assert found == {"hot": 4, None: 3}
+    assert joins.heavy_keys(df, ["k"], 400) is None and joins.heavy_keys(df.limit(0), ["k"], 1) is None
+    monkeypatch.setattr(joins, "MAX_HEAVY_KEYS", 1)
+    assert [r.k for r in joins.heavy_keys(df, ["k"], 40).collect()] == ["hot"]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salts_of_a_part_of_the_keys(spark, how):
+    """Heavy keys known on fewer columns than the join's spread its rows as well."""
+    left = spark.range(2000).select(
+        "id", F.when(F.col("id") % 3 > 0, None).otherwise("hot").alias("k"), (F.col("id") % 5).cast("int").alias("d")
+    )
+    right = spark.createDataFrame([("hot", 1, 1), (None, 2, 2), (None, None, 3), ("x", 4, 4)], "k string, d int, v int")
+    heavy = joins.heavy_keys(left, ["k"], 100)
+    got = joins.salted_join(left, right, ["k", "d"], ["id"], how, heavy=heavy)
+    renamed = right.toDF("r", "e", "v")
+    want = left.join(renamed, F.col("k").eqNullSafe(F.col("r")) & F.col("d").eqNullSafe(F.col("e")), how).drop("r", "e")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("fallback", ["all", "unmatched"])
+@pytest.mark.parametrize("rows_per_task", [1, 4_000_000])
+def test_shuffled_matches_equal_the_model(spark, fallback, rows_per_task):
+    subjects, rules = some_rows(7)
+    s, r = ready(spark, subjects, rules)
+    got = match.match_rules(s, r, fallback, broadcast=False, rows_per_task=rows_per_task)
+    assert pairs(got) == expected(subjects, rules, fallback)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("_salt" in plan) == (rows_per_task == 1) and "CartesianProduct" not in plan
+
+
+def test_row_bytes_by_type(spark):
+    df = spark.createDataFrame([("abc", 1, [1, 2], None), (None, 2, None, b"xy")], "`a.b` string, n int, l array<int>, z binary")
+    assert [r[0] for r in df.select(joins.row_bytes(df)).collect()] == [3 + 8 + len('{"l":[1,2]}'), 8 + len("{}") + 2]
