@@ -47,12 +47,28 @@ RULES = (
 
 @dataclass(frozen=True)
 class Mining:
-    """Shares of the labelled baskets, and of those a rule fits. A rule also needs
-    ``min_count`` bad baskets, below which a confidence says nothing."""
+    """Which token sets become rules.
+
+    A set needs ``min_support`` of the labelled baskets, and ``min_count`` of them, to be bad and
+    to hold it. Its confidence is judged by the share of bad ones in all labelled baskets: the odds
+    of bad must be ``min_odds_ratio`` times the odds at large, and its bad baskets must be
+    ``min_deviations`` standard deviations more than that share of its baskets. An absolute
+    ``min_confidence`` takes the place of these two."""
 
     min_support: float = 0.005
     min_count: int = 30
-    min_confidence: float = 0.5
+    min_odds_ratio: float = 3.0
+    min_deviations: float = 5.0
+    min_confidence: float | None = None
+
+    def is_rule(self, base: float) -> Column:
+        """Over ``confidence`` and ``deviations``, where a share ``base`` of all is bad."""
+        if self.min_confidence is not None:
+            return F.col("confidence") >= self.min_confidence
+        odds = self.min_odds_ratio * base
+        return (F.col("confidence") >= odds / (1 - base + odds)) & (
+            F.col("deviations") >= self.min_deviations
+        )
 
 
 def split_url(url: Column) -> tuple[Column, Column, Column]:
@@ -96,28 +112,32 @@ def url_tokens(host: Column, path: Column, rest: Column) -> Column:
     )
 
 
-def mine_rules(baskets: DataFrame, mining: Mining) -> DataFrame:
-    """Rules from ``tokens`` and ``bad``: ``tokens``, ``confidence``, ``support``.
+def frequent_sets(baskets: DataFrame, mining: Mining) -> tuple[DataFrame, float]:
+    """The token sets frequent among the bad baskets, and the share of bad in all labelled ones.
 
-    Null labels are left out. A rule is dropped if a part of it is at least as confident.
-    Without labelled baskets there are no rules.
+    Reads ``tokens`` and ``bad``; gives ``tokens``, ``hits`` (bad baskets that hold the set),
+    ``freq`` (all that do), ``confidence``, ``support`` and ``deviations``. Null labels and
+    baskets without tokens are left out; without labelled baskets there are no sets.
     """
-    labelled = baskets.where("bad IS NOT NULL").select(
+    labelled = baskets.where("bad IS NOT NULL AND size(tokens) > 0").select(
         F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD))))
         .otherwise(F.col("tokens"))
         .alias("items")
     )
-    labelled = materialise(labelled.where(F.size("items") > 0))
+    labelled = materialise(labelled)
     empty = labelled.sparkSession.createDataFrame(
-        [], "tokens array<string>, confidence double, support double"
+        [],
+        "tokens array<string>, hits long, freq long, confidence double, support double, deviations double",
     )
-    total = labelled.count()
-    if not total:
-        return empty
+    marked = F.array_contains("items", BAD)
+    total, bads = labelled.agg(F.count(F.lit(1)), F.count_if(marked)).first()
+    if not bads:
+        return empty, 0.0
+    base = bads / total
     # A rule's support counts the baskets with its tokens and the label, so only tokens that
     # are frequent among the bad baskets can be part of a rule.
     least = max(mining.min_support * total, mining.min_count)
-    bad = labelled.where(F.array_contains("items", BAD))
+    bad = labelled.where(marked)
     useful = materialise(
         bad.select(F.explode("items").alias("item")).groupBy("item").count().where(F.col("count") >= least)
     ).select("item")
@@ -130,22 +150,37 @@ def mine_rules(baskets: DataFrame, mining: Mining) -> DataFrame:
         .agg(F.array_sort(F.collect_list("item")).alias("items"))
         .select("items")
     )
-    if not kept.count():
-        return empty
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / max(1, kept.count()))).fit(kept)
+    held = kept.count()
+    if not held:
+        return empty, base
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / held)).fit(kept)
     sets = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    with_label = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(
+    with_label = sets.where(marked & (F.size("items") > 1)).select(
         F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("hits")
     )
-    rules = materialise(
-        with_label.join(sets.select(F.col("items").alias("tokens"), "freq"), "tokens")
-        .select(
+    # Where all baskets are bad, none is more often so than the rest.
+    spread = F.sqrt(F.col("freq") * F.lit(base * (1 - base)))
+    surplus = F.col("hits") - F.col("freq") * F.lit(base)
+    return materialise(
+        with_label.join(sets.select(F.col("items").alias("tokens"), "freq"), "tokens").select(
             "tokens",
+            "hits",
+            "freq",
             (F.col("hits") / F.col("freq")).alias("confidence"),
             (F.col("hits") / F.lit(float(total))).alias("support"),
+            F.when(spread > 0, surplus / spread).otherwise(0.0).alias("deviations"),
         )
-        .where(F.col("confidence") >= mining.min_confidence)
-    )
+    ), base
+
+
+def mine_rules(baskets: DataFrame, mining: Mining) -> DataFrame:
+    """Rules from ``tokens`` and ``bad``: ``tokens``, ``confidence``, ``support``.
+
+    The ``frequent_sets`` that ``mining`` takes for rules; one is dropped if a part of it is a
+    rule at least as confident.
+    """
+    sets, base = frequent_sets(baskets, mining)
+    rules = sets.where(mining.is_rule(base)).select("tokens", "confidence", "support")
     # A part of a rule has one token less; by steps of one the comparison reaches all parts.
     parts = rules.select(
         F.col("tokens").alias("_rule"),
@@ -197,24 +232,14 @@ def judge_urls(
     """``page_id``, ``host``, ``path``, ``rule`` (null if none of the given ones fits),
     ``verdict`` (``allow`` or ``block``) and ``mined``, the token rule that decided, if one did.
 
-    ``labels`` marks pages by ``doc_id``: bad is a quality of 0 or a toxic of 1. A url without
-    a rule of either kind is allowed. A null url, or one without ``://``, has empty parts.
+    ``labels`` marks pages by ``doc_id``: bad is a quality of 0 or a toxic of 1, in any of its
+    rows. A url without a rule of either kind is allowed. A null url, or one without ``://``, has
+    empty parts and no tokens. Urls of any length count whole; repeated rows are judged alike, each
+    in a row of its own; of rules that are equally confident that with the larger support and then
+    the later text is named. Other columns are not read; an empty table gives no row.
     """
-    host, path, rest = split_url(F.col("url"))
-    urls = (
-        pages.select("page_id", "url")
-        .select("page_id", host.alias("host"), path.alias("path"), rest.alias("rest"))
-        .select("page_id", "host", "path", url_tokens(F.col("host"), F.col("path"), F.col("rest")).alias("tokens"))
-        .withColumn("tokens", F.filter("tokens", lambda t: ~t.endswith("=")))
-    )
-    bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
-    marks = (
-        labels.where("quality IS NOT NULL OR toxic IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.max(bad).alias("bad"))
-        .withColumnRenamed("doc_id", "page_id")
-    )
-    mined = mine_rules(urls.join(marks, "page_id").select("tokens", "bad"), mining)
+    urls = url_baskets(pages)
+    mined = mine_rules(labelled_baskets(urls, labels), mining)
     matched = match_rules(urls.where(F.size("tokens") > 0), mined)
     rule = host_rule(F.col("host"), F.col("path"), rules)
     return (
@@ -232,3 +257,26 @@ def judge_urls(
             F.when(F.col("_rule").isNull(), F.col("mined")).alias("mined"),
         )
     )
+
+
+def url_baskets(pages: DataFrame) -> DataFrame:
+    """``page_id``, ``host``, ``path`` and the ``tokens`` of every url."""
+    host, path, rest = split_url(F.col("url"))
+    return (
+        pages.select("page_id", "url")
+        .select("page_id", host.alias("host"), path.alias("path"), rest.alias("rest"))
+        .select("page_id", "host", "path", url_tokens(F.col("host"), F.col("path"), F.col("rest")).alias("tokens"))
+        .withColumn("tokens", F.filter("tokens", lambda t: ~t.endswith("=")))
+    )
+
+
+def labelled_baskets(urls: DataFrame, labels: DataFrame) -> DataFrame:
+    """``tokens`` and ``bad`` of the pages that ``labels`` knows by ``doc_id``."""
+    bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
+    marks = (
+        labels.where("quality IS NOT NULL OR toxic IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.max(bad).alias("bad"))
+        .withColumnRenamed("doc_id", "page_id")
+    )
+    return urls.join(marks, "page_id").select("tokens", "bad")
