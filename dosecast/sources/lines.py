@@ -5,6 +5,10 @@ lines, and a quoted cell may run over line ends and over splits. A line is insid
 quotes before it, and so after it: as a function of the state before, each line keeps it,
 turns it, or sets it. Running these together first inside each split and then over the splits
 of a file tells where every record starts, without reading a file in one piece.
+
+A record is put together in one task, so its length is bounded: two stray quotes far apart in a
+file make one record of all between them. Lengths are summed before any line is gathered, and a
+file with a longer record is rejected.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from dosecast.sources.reports import (
     unique_names,
 )
 
+MAX_RECORD_BYTES = 16 << 20
+
 _INSIDE = r'(?:[^"]++|"")*+'
 _CLOSED_CELL = rf'(?:"{_INSIDE}"[^,]*+|(?!")[^,]*+)'
 # The line ends inside quotes when it starts outside, and when it starts inside.
@@ -91,8 +97,11 @@ def _running(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     )
 
 
-def _records(lines: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records ``(file, block, no, text)`` and the files that end inside quotes."""
+def _records(
+    lines: DataFrame, heads: DataFrame, max_record_bytes: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records ``(file, block, no, text)``, the files that end inside quotes, and the files with a
+    record of more than ``max_record_bytes``; neither kind has records of several lines."""
     kept = lines.join(heads, "file").where(
         F.col("top").isNotNull() & ((F.col("block") > 0) | (F.col("n") >= F.col("top")))
     )
@@ -153,12 +162,28 @@ def _records(lines: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
         .join(unclosed, "file", "left_anti")
     )
     inherited = F.col("no") == 0
+    keyed = parts.select(
+        "file",
+        F.when(inherited, F.col("from_block")).otherwise(F.col("block")).alias("record_block"),
+        F.when(inherited, F.col("from_no")).otherwise(F.col("no")).alias("no"),
+        "block",
+        "n",
+        "value",
+    )
+    # Line ends between the lines count, that after the last does not.
+    bytes_of = F.octet_length("value").cast("long")
+    sizes = keyed.groupBy("file", "record_block", "no").agg((F.sum(bytes_of + 1) - 1).alias("size"))
+    long = (
+        sizes.select("file", "size")
+        .unionByName(single.select("file", F.octet_length("text").cast("long").alias("size")))
+        .groupBy("file")
+        .agg(F.max("size").alias("size"))
+        .where(F.col("size") > max_record_bytes)
+        .select("file")
+    )
     joined = (
-        parts.groupBy(
-            "file",
-            F.when(inherited, F.col("from_block")).otherwise(F.col("block")).alias("record_block"),
-            F.when(inherited, F.col("from_no")).otherwise(F.col("no")).alias("no"),
-        )
+        keyed.join(long, "file", "left_anti")
+        .groupBy("file", "record_block", "no")
         .agg(F.array_sort(F.collect_list(F.struct("block", "n", "value"))).alias("parts"))
         .select(
             "file",
@@ -167,7 +192,7 @@ def _records(lines: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("text"),
         )
     )
-    return single.unionByName(joined).where(~is_blank(F.col("text"))), unclosed
+    return single.unionByName(joined).where(~is_blank(F.col("text"))), unclosed, long
 
 
 def read_large_reports(
@@ -175,15 +200,17 @@ def read_large_reports(
     paths: Sequence[str],
     max_header_lines: int = MAX_HEADER_LINES,
     tokens: Sequence[str] = NULL_TOKENS,
+    max_record_bytes: int = MAX_RECORD_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows ``(file, block, no, cells)`` of large CSV files, and ``(file, header, reason)``.
 
     The rows are those of ``reports.report_rows``; ``block, no`` give their order in the file.
-    Files with a reason have no rows. Needs a checkpoint folder.
+    Files with a reason have no rows; ``long_record`` is one more reason here, of a file with a
+    record of more than ``max_record_bytes``. Needs a checkpoint folder.
     """
     lines = read_lines(spark, paths)
     heads = broadcast_if_small(_headers(lines, max_header_lines))
-    records, unclosed = _records(lines, heads)
+    records, unclosed, long = _records(lines, heads, max_record_bytes)
     parsed = records.withColumn("cells", split_record(F.col("text")))
     first = F.min(F.struct("block", "no", "cells"))
     files = (
@@ -198,6 +225,7 @@ def read_large_reports(
         broken.join(heads, "file", "left")
         .join(files, "file", "left")
         .join(unclosed.withColumn("unclosed", F.lit(True)), "file", "left")
+        .join(long.withColumn("long", F.lit(True)), "file", "left")
         .select(
             "file",
             unique_names(F.col("first.cells")).alias("header"),
@@ -206,6 +234,7 @@ def read_large_reports(
             F.when(~F.col("utf8"), "not_utf8")
             .when(F.col("top").isNull(), "no_header")
             .when(F.col("unclosed"), "open_quote")
+            .when(F.col("long"), "long_record")
             .when(F.col("widest") > F.size("first.cells"), "long_row")
             .alias("reason"),
         )

@@ -74,6 +74,25 @@ def test_splits_equal_whole_files(spark, tmp_path, tiny_splits):
     assert splits.distinct().count() > 3 * len(os.listdir(folder))
 
 
+def test_long_records_are_rejected(spark, tmp_path, tiny_splits):
+    """Two stray quotes make a record of all between them; at the bound it is still read."""
+    texts = {
+        "stray": "a,b\n1,\"x\n" + "2,3\n" * 60 + "4\",5\n6,7\n",
+        "line": "a,b\n1," + "y" * 199 + "\n2,3\n",
+        "edge": "a,b\n\"" + "z\n" * 98 + "\",1\n",
+        "open": "a,b\n1,\"x\n" + "2,3\n" * 60,
+        "fine": "a,b\n" + "1,\"p\nq\"\n" * 60,
+    }
+    for name, t in texts.items():
+        (tmp_path / f"{name}.csv").write_text(t)
+    rows, files = lines.read_large_reports(spark, [str(tmp_path / f"{n}.csv") for n in texts], max_record_bytes=200)
+    name = F.regexp_extract("file", "([^/]+)[.]csv$", 1).alias("f")
+    reasons = {r.f: r.reason for r in files.select(name, "reason").collect()}
+    assert reasons == {"stray": "long_record", "line": "long_record", "edge": None, "open": "open_quote", "fine": None}
+    counts = {r.f: r["count"] for r in rows.groupBy(name).count().collect()}
+    assert counts == {"edge": 1, "fine": 60}
+
+
 def test_curated_in_splits(spark, tmp_path, tiny_splits):
     folder = tmp_path / "20251106" / "Co one+two"
     folder.mkdir(parents=True)
