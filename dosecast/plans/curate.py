@@ -61,12 +61,21 @@ def read_reports(
     sheet, or None where there is no sheet. All files go through one plan.
     """
     parsed = reports.parse_reports(_with_sheet(files, file_type, header_rows, code_pattern))
+    return _judged(parsed, file_type)
+
+
+def _judged(parsed: DataFrame, file_type: str) -> DataFrame:
     reason = _reason(file_type)
     return parsed.withColumns(
         {"reason": reason, "records": F.when(reason.isNull(), F.col("records"))}
     )
 
 
+def parse_files(files: DataFrame, code_pattern: str = text.STUDY_CODE_PATTERN) -> DataFrame:
+    """Files of any types with their study code, parsed: what ``curate_parsed`` takes."""
+    return reports.parse_reports(with_study_code(files, code_pattern))
+
+
 def curate_reports(
     files: DataFrame,
     file_type: str,
@@ -76,6 +85,23 @@ def curate_reports(
 ) -> tuple[DataFrame, DataFrame]:
     """Table rows of all files of one type, and the files rejected with a reason."""
     parsed = read_reports(files, file_type, header_rows, code_pattern)
+    return _curated(parsed, file_type, processed_at)
+
+
+def curate_parsed(
+    parsed: DataFrame,
+    file_type: str,
+    header_rows: DataFrame | None = None,
+    processed_at: dt.datetime | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``curate_reports`` of files that ``parse_files`` has parsed."""
+    typed = headers.with_specs(parsed.withColumn("file_type", F.lit(file_type)), header_rows)
+    return _curated(_judged(typed, file_type), file_type, processed_at)
+
+
+def _curated(
+    parsed: DataFrame, file_type: str, processed_at: dt.datetime | None
+) -> tuple[DataFrame, DataFrame]:
     rejects = reports.report_rejects(parsed).drop("specs")
     labels = report_labels(file_type)
     resolved = headers.resolve_labels(parsed, labels)
