@@ -36,3 +36,26 @@ def test_every_report_file_is_read_once(spark, tmp_path):
     assert jobs.read_table(spark, target, jobs.REJECTS).where("reason = 'no_header'").count() == 3
     assert jobs.read_table(spark, target, "clinical_site_inventory").count() == 3
     assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= kept
+
+
+def test_plan_files_do_not_grow_with_the_studies(spark, tmp_path):
+    def plan(*studies):
+        subjects = spark.createDataFrame(
+            [(f"ST-{s}", n, "Arm", dt.date(2025, 1, 1), "Cycle 1 Day 1", DAY) for s in studies for n in range(2)],
+            "study_protocol string, subject_number long, randomized_treatment string, "
+            "last_study_visit_date date, last_study_visit_recorded string, extract_date date",
+        )
+        rules = subjects.select("study_protocol", "randomized_treatment").distinct().selectExpr(
+            "*", "'Drug 1mg' AS study_drug_dispensed", "'1' AS visit_days", "1L AS dispensing_quantity",
+            "28L AS dispensing_frequency_days", "string(null) AS subject_status", "string(null) AS country",
+            "double(null) AS max_cycles", "string(null) AS tpc", "string(null) AS additional_study_drug_dispensed",
+        )
+        jobs.plan_snapshot(subjects, rules, str(tmp_path), as_of=DAY, horizon_days=60)
+        return jobs.read_table(spark, str(tmp_path), "clinical_demand_plan")
+
+    first = plan(*range(60))
+    per_study = {r.study_name: r["count"] for r in first.groupBy("study_name").count().collect()}
+    assert len(per_study) == 60 and len(set(per_study.values())) == 1
+    assert len(list((tmp_path / "clinical_demand_plan").rglob("part-*.parquet"))) < 60
+    again = plan(3, 99)
+    assert again.count() == first.count() * 61 // 60

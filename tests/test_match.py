@@ -266,3 +266,18 @@ def test_shuffled_matches_equal_the_model(spark, fallback, rows_per_task):
 def test_row_bytes_by_type(spark):
     df = spark.createDataFrame([("abc", 1, [1, 2], None), (None, 2, None, b"xy")], "`a.b` string, n int, l array<int>, z binary")
     assert [r[0] for r in df.select(joins.row_bytes(df)).collect()] == [3 + 8 + len('{"l":[1,2]}'), 8 + len("{}") + 2]
+
+
+@pytest.mark.parametrize("fallback", ["all", "unmatched"])
+def test_heavy_keys_are_counted_once(spark, monkeypatch, fallback):
+    counted, count = [], joins.heavy_keys
+
+    def watched(*args):
+        counted.append(args[1])
+        return count(*args)
+
+    monkeypatch.setattr(joins, "heavy_keys", watched)
+    monkeypatch.setattr(match, "heavy_keys", watched)
+    s, r = ready(spark, *some_rows(7))
+    match.match_rules(s, r, fallback, broadcast=False)
+    assert counted == [match.FOLDED_KEYS]

@@ -112,3 +112,15 @@ def test_steps_are_counted(spark):
     counts.watch(spark.range(3), never=steps.rows())
     counts.add("known", 5)
     assert counts.counts(wait=0.5) == {"read": 10, "even": 5, "kept": 6, "never": None, "known": 5}
+
+
+def test_values_with_and_without_folders_are_one_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.replace_all(frame(spark, (1, A), (2, B), (3, None)), path, "day")
+    assert versions.replace_values(frame(spark, (4, B), (5, C)), path, "day", [B, C, None], folders=False) == 2
+    assert table(spark, path) == [(1, A), (4, B), (5, C)]
+    with pytest.raises(ValueError, match="1 rows of values of day that were not declared"):
+        versions.replace_values(frame(spark, (6, None), (7, A)), path, "day", [A], folders=False)
+    versions.replace_values(frame(spark), path, "day", [B], folders=False)
+    assert table(spark, path) == [(1, A), (5, C)]
+    assert versions.table_schema(spark, path) == SCHEMA
