@@ -163,16 +163,24 @@ def lineage_columns(spark, sf):
 TABLES = sorted({t for _, _, t in file_ops.TARGET_TABLES if t != file_ops.NO_TARGET})
 
 
-def loaded_tables(spark, sf):
-    """The curated tables, as if each file but every third had been loaded into its own."""
-    loaded = listing(spark, sf).where("listing_no % 3 <> 0").select(
+def loaded_rows(spark, sf):
+    """Each file but every third with the table that it was loaded into."""
+    return listing(spark, sf).where("listing_no % 3 <> 0").select(
         aimed_at(F.col("file_name")).alias("t"),
         F.regexp_replace("study_name", "^Sponsor ", "").alias("study_protocol"),
         "extract_date",
     )
+
+
+def tables_of(loaded):
     return {t: loaded.where(F.col("t") == t).drop("t") for t in TABLES}
 
 
+def loaded_tables(spark, sf):
+    """The curated tables, as if each file but every third had been loaded into its own."""
+    return tables_of(loaded_rows(spark, sf))
+
+
 def study_list(spark, sf):
     """Each study of the files times the report labels, as the sheet would list them."""
     labels = F.array(

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 from dosecast.plans import jobs
 
 DAY = dt.date(2025, 11, 6)
@@ -59,3 +60,16 @@ def test_plan_files_do_not_grow_with_the_studies(spark, tmp_path):
     assert len(list((tmp_path / "clinical_demand_plan").rglob("part-*.parquet"))) < 60
     again = plan(3, 99)
     assert again.count() == first.count() * 61 // 60
+
+
+def test_status_job_classifies_the_loaded_files_once(spark, monkeypatch):
+    plans, run = [], jobs.status_snapshots
+
+    def watched(listing, studies, tables, *rest):
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in tables.values())
+        run(listing, studies, tables, *rest)
+
+    monkeypatch.setattr(jobs, "status_snapshots", watched)
+    status_job = entry_points.queries()["status_job"]
+    assert status_job(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(plans) > 1 and all(p.count("InMemoryRelation") == 1 for p in plans)
