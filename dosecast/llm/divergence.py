@@ -4,8 +4,8 @@ Terms are counted by a 64-bit digest, so the shuffles of the counts carry fixed-
 Most terms are rare and no string of theirs leaves its task:
 
 * a first scan counts the documents of each digest, which tells the digests that may be kept;
-* a second scan counts the occurrences of those by group, and writes them with their strings to a
-  scratch table. Of each digest the smallest and the largest string are taken; where they differ,
+* a second scan counts the occurrences of those by group, and writes them to a scratch table; a
+  task hands on each string of a language once and not once a group. Of each digest the smallest and the largest string are taken; where they differ,
   several terms share the digest, and those few digests are counted again by string;
 * the strings of the rows that are put out are joined back at the end.
 
@@ -92,12 +92,15 @@ def term_counts(
     how: Audit,
     strings: bool = False,
     given: Given | None = None,
+    once: bool = False,
 ) -> DataFrame:
     """``digest`` and ``n`` by the columns ``groups``, the first of which is ``lang``, in parts that are
-    still to be summed; with ``strings`` by ``term`` too. ``given`` leaves other digests out."""
+    still to be summed; with ``strings`` by ``term`` too. ``given`` leaves other digests out. With
+    ``once`` a term is told in one of a language's rows that are handed on together, else null."""
     wanted = None if given is None else rows.sparkSession.sparkContext.broadcast(given)
 
     def flush(held: dict) -> Iterator[pa.RecordBatch]:
+        told: dict[str, set[bytes]] = {}
         for group, counter in held.items():
             terms, n = list(counter), np.fromiter(counter.values(), np.int64, len(counter))
             found = digests(terms, how.digest_bits)
@@ -106,7 +109,12 @@ def term_counts(
                 at = np.minimum(np.searchsorted(listed, found), max(0, len(listed) - 1))
                 kept = np.flatnonzero(listed[at] == found) if len(listed) else np.zeros(0, np.int64)
                 found, n = found[kept], n[kept]
-                terms = [terms[k] for k in kept] if strings else []
+                terms = [terms[k] for k in kept.tolist()] if strings else []
+            if once:
+                seen = told.setdefault(group[0], set())
+                new = set(terms) - seen
+                seen |= new
+                terms = [t if t in new else None for t in terms]
             columns = [pa.array([x] * len(n), pa.string()) for x in group] + [pa.array(found), pa.array(n)]
             names = [*groups, "digest", "n"]
             if strings:
@@ -227,12 +235,15 @@ def audit_sources(docs: DataFrame, how: Audit = Audit()) -> DataFrame:  # noqa:
         .drop("n")
     )
     given = listed(held)
-    parts = materialise(term_counts(rows, ["lang", "source"], each_term, how, strings=True, given=given))
+    parts = materialise(
+        term_counts(rows, ["lang", "source"], each_term, how, strings=True, given=given, once=True)
+    )
     # Tasks that were given the digests have left all others out already.
     parts = parts if given is not None else parts.join(held, pair, "left_semi")
     counts = parts.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
     strings = materialise(
-        parts.select(*pair, "term")
+        parts.where("term IS NOT NULL")
+        .select(*pair, "term")
         .distinct()
         .groupBy(*pair)
         .agg(F.min("term").alias("term"), F.max("term").alias("last"))
@@ -241,16 +252,17 @@ def audit_sources(docs: DataFrame, how: Audit = Audit()) -> DataFrame:  # noqa:
     key = ["lang", "digest", "split"]
     kept = counts.withColumn("split", F.lit(""))
     if not shared.isEmpty():
-        spelled = F.col("term").alias("split")
+        spelled, few = F.col("term").alias("split"), listed(shared)
         often = (
-            term_counts(rows, ["lang"], once_a_document, how, strings=True, given=listed(shared))
+            term_counts(rows, ["lang"], once_a_document, how, strings=True, given=few)
             .join(shared, pair, "left_semi")
             .groupBy(*pair, spelled)
             .agg(F.sum("n").alias("n"))
             .where(F.col("n") >= how.min_docs)
             .drop("n")
         )
-        split = parts.join(shared, pair, "left_semi").groupBy("lang", "source", "digest", spelled)
+        every = term_counts(rows, ["lang", "source"], each_term, how, strings=True, given=few)
+        split = every.join(shared, pair, "left_semi").groupBy("lang", "source", "digest", spelled)
         split = split.agg(F.sum("n").alias("n")).join(often, key, "left_semi")
         kept = kept.join(shared, pair, "left_anti").unionByName(split)
     kept = materialise(kept)

@@ -249,3 +249,15 @@ def test_trie_distances_are_those_of_all_entries(values):
     assert (veccodes.trie_distances(parts, book) == want).all()
     code, error = veccodes.nearest(parts[::-1].copy(), book)
     assert (code == want.argmin(axis=1)[::-1]).all() and (error == want.min(axis=1)[::-1]).all()
+
+
+def test_a_task_tells_a_string_once_a_language(spark):
+    docs = [("en", s, f"same words {s}") for s in "abc"] * 2 + [("de", "a", "same")]
+    rows = spark.createDataFrame(docs, "lang string, source string, text string").coalesce(1)
+    rows = rows.withColumn("text", F.col("text").cast("binary"))
+    parts = divergence.term_counts(
+        rows, ["lang", "source"], divergence.each_term, divergence.Audit(), strings=True, once=True
+    ).collect()
+    told = [(r.lang, r.term) for r in parts if r.term is not None]
+    assert sorted(told) == [("de", "same"), *[("en", t) for t in ("a", "b", "c", "same", "words")]]
+    assert len(parts) == 10 and sum(r.n for r in parts) == 19
