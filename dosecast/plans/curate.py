@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,14 +39,13 @@ def _with_sheet(
     return headers.with_specs(coded, header_rows)
 
 
-def _reason(file_type: str) -> Column:
+def _reason() -> Column:
     """Why a file is rejected: no code, not readable, or a subject report without mapping."""
     reason = F.when(F.col("study_code").isNull(), F.lit("no_study_code")).otherwise(
         F.col("reason")
     )
-    if file_type == "subject":
-        reason = F.coalesce(reason, F.when(F.col("specs").isNull(), F.lit("no_header_mapping")))
-    return reason
+    unmapped = (F.col("file_type") == "subject") & F.col("specs").isNull()
+    return F.coalesce(reason, F.when(unmapped, F.lit("no_header_mapping")))
 
 
 def read_reports(
@@ -61,21 +60,47 @@ def read_reports(
     sheet, or None where there is no sheet. All files go through one plan.
     """
     parsed = reports.parse_reports(_with_sheet(files, file_type, header_rows, code_pattern))
-    return _judged(parsed, file_type)
+    return _judged(parsed)
 
 
-def _judged(parsed: DataFrame, file_type: str) -> DataFrame:
-    reason = _reason(file_type)
+def _judged(parsed: DataFrame) -> DataFrame:
+    reason = _reason()
     return parsed.withColumns(
         {"reason": reason, "records": F.when(reason.isNull(), F.col("records"))}
     )
 
 
 def parse_files(files: DataFrame, code_pattern: str = text.STUDY_CODE_PATTERN) -> DataFrame:
-    """Files of any types with their study code, parsed: what ``curate_parsed`` takes."""
+    """Files of any types with their study code, parsed: what ``judge_files`` takes."""
     return reports.parse_reports(with_study_code(files, code_pattern))
 
 
+def header_maps(sheets: Mapping[str, DataFrame | None]) -> DataFrame | None:
+    """The header maps of the types that have a long sheet, as one DataFrame; None for no sheet."""
+    maps = [
+        headers.header_map(long.where(F.col("file_type") == t))
+        for t, long in sheets.items()
+        if t in REPORTS and long is not None
+    ]
+    return row_ops.union_all(maps) if maps else None
+
+
+def judge_files(
+    parsed: DataFrame, maps: DataFrame | None, sheeted: Sequence[str] = ()
+) -> DataFrame:
+    """Parsed files of all types (``file_type``) with header specs and reject reason, in one join.
+    ``maps`` are the ``header_maps`` of the types ``sheeted``; the others need no mapping."""
+    if maps is None:
+        return _judged(parsed.withColumn("specs", headers.no_specs()))
+    specs = F.when(F.col("file_type").isin(*sheeted), F.col("specs")).otherwise(headers.no_specs())
+    return _judged(headers.join_maps(parsed, maps).withColumn("specs", specs))
+
+
+def rejected_files(judged: DataFrame) -> DataFrame:
+    """The files that ``judge_files`` rejects, with the reason."""
+    return judged.where(F.col("reason").isNotNull()).select(*LINEAGE, "file_type", "reason")
+
+
 def curate_reports(
     files: DataFrame,
     file_type: str,
@@ -88,15 +113,11 @@ def curate_reports(
     return _curated(parsed, file_type, processed_at)
 
 
-def curate_parsed(
-    parsed: DataFrame,
-    file_type: str,
-    header_rows: DataFrame | None = None,
-    processed_at: dt.datetime | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """``curate_reports`` of files that ``parse_files`` has parsed."""
-    typed = headers.with_specs(parsed.withColumn("file_type", F.lit(file_type)), header_rows)
-    return _curated(_judged(typed, file_type), file_type, processed_at)
+def curate_judged(
+    judged: DataFrame, file_type: str, processed_at: dt.datetime | None = None
+) -> DataFrame:
+    """Table rows of the files of one type that ``judge_files`` lets pass."""
+    return _curated(judged.where(F.col("file_type") == file_type), file_type, processed_at)[0]
 
 
 def _curated(
@@ -107,10 +128,7 @@ def _curated(
     resolved = headers.resolve_labels(parsed, labels)
     if file_type == "depot":
         resolved = headers.default_source(resolved, labels, APPROVED, COUNTRY)
-    read = reports.report_rows(
-        resolved.select(*LINEAGE, "header", "sources", "records", "reason")
-    )
-    rows = headers.harmonise(read, labels, LINEAGE)
+    rows = headers.harmonise_files(resolved, labels, LINEAGE)
     return _to_table(rows, file_type, processed_at), rejects
 
 
@@ -126,7 +144,7 @@ def curate_large_reports(
     read, files = lines.read_large_reports(spark, paths)
     named = describe_paths(files.withColumn("path", F.col("file")))
     judged = _with_sheet(named, file_type, header_rows, code_pattern).withColumn(
-        "reason", _reason(file_type)
+        "reason", _reason()
     )
     labels = report_labels(file_type)
     good = headers.resolve_labels(judged.where(F.col("reason").isNull()), labels).select(

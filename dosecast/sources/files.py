@@ -282,18 +282,24 @@ def target_table(report: Column, subreport: Column) -> Column:
 
 
 def latest(
-    files: DataFrame, keys: Sequence[str], time: str, tie: str, keep: Sequence[str]
+    files: DataFrame, keys: Sequence[str], time: str, tie: str, keep: Sequence[str], also: Sequence[str]
 ) -> DataFrame:
     """Per key the row of the newest ``time`` in a study folder; the smallest ``tie`` wins a draw.
+    Rows without a ``time`` or one of the columns ``also`` do not count.
 
     An aggregate with a partial form: a study that holds most files shrinks before the shuffle.
     """
-    newest_first = F.struct(-F.unix_micros(F.col(time).cast("timestamp")), F.col(tie))
+    # Files that lie outside a study folder belong to no study.
+    counts = F.col("study_name").isNotNull() & F.col(time).isNotNull()
+    for k in also:
+        counts = counts & F.col(k).isNotNull()
+    # A row without an order is never the least. As a filter the condition would move ahead of the
+    # columns it tests and work them out again at each place that names them.
+    newest_first = F.when(counts, F.struct(-F.unix_micros(F.col(time).cast("timestamp")), F.col(tie)))
     return (
-        # Files that lie outside a study folder belong to no study.
-        files.where(F.col(time).isNotNull() & F.col("study_name").isNotNull())
-        .groupBy(*keys)
+        files.groupBy(*keys)
         .agg(F.min_by(F.struct(*keep), newest_first).alias("_file"))
+        .where(F.col("_file").isNotNull())
         .select(*keys, *[f"_file.{c}" for c in keep])
     )
 
@@ -305,8 +311,8 @@ def latest_by_name(files: DataFrame, tie: str = "path", keep: Sequence[str] = ("
             "file_type": classify_file(F.col("file_name")),
             "_time": name_timestamp(F.col("file_name")),
         }
-    ).where(F.col("file_type").isNotNull())
-    return latest(found, ["extract_date", "study_name", "file_type"], "_time", tie, keep)
+    )
+    return latest(found, ["extract_date", "study_name", "file_type"], "_time", tie, keep, ["file_type"])
 
 
 def latest_by_modification(
@@ -315,9 +321,9 @@ def latest_by_modification(
     """The same by modification time."""
     found = files.withColumn(
         "file_type", classify_file(F.col("file_name"), by_modification=True)
-    ).where(F.col("file_type").isNotNull())
+    )
     return latest(
-        found, ["extract_date", "study_name", "file_type"], "modificationTime", tie, keep
+        found, ["extract_date", "study_name", "file_type"], "modificationTime", tie, keep, ["file_type"]
     )
 
 
@@ -328,9 +334,9 @@ def latest_reports(files: DataFrame, tie: str = "path") -> DataFrame:
             "_code": report_code(F.col("file_name")),
             "_time": name_timestamp(F.col("file_name"), ("csv", "enc")),
         }
-    ).where(F.col("_code").isNotNull())
+    )
     # Titles are told of the chosen files only.
-    newest = latest(found, ["extract_date", "study_name", "_code"], "_time", tie, ["file_name"])
+    newest = latest(found, ["extract_date", "study_name", "_code"], "_time", tie, ["file_name"], ["_code"])
     report, subreport = report_titles(F.col("_code"))
     return newest.select(
         "extract_date", "study_name", report.alias("report_name"), subreport.alias("subreport_name"), "file_name"

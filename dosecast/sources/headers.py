@@ -72,18 +72,26 @@ def header_map(long: DataFrame) -> DataFrame:
         .agg(F.map_from_entries(F.collect_list(F.struct("label", "spec"))).alias("specs"))
     )
     known = long.select("file_type", "study").distinct()
-    empty = F.create_map().cast("map<string,string>")
     return known.join(found, ["file_type", "study"], "left").withColumn(
-        "specs", F.coalesce("specs", empty)
+        "specs", F.coalesce("specs", no_specs())
     )
 
 
 def with_specs(files: DataFrame, long: DataFrame | None, study: str = "study_code") -> DataFrame:
     """Add ``specs`` to each file by its type and study; null where the sheet lacks the study."""
     if long is None:
-        return files.withColumn("specs", F.create_map().cast("map<string,string>"))
-    maps = broadcast_if_small(header_map(long).withColumnRenamed("study", study))
-    return files.join(maps, ["file_type", study], "left")
+        return files.withColumn("specs", no_specs())
+    return join_maps(files, header_map(long), study)
+
+
+def no_specs() -> Column:
+    return F.create_map().cast("map<string,string>")
+
+
+def join_maps(files: DataFrame, maps: DataFrame, study: str = "study_code") -> DataFrame:
+    """``with_specs`` by maps that ``header_map`` gave."""
+    named = broadcast_if_small(maps.withColumnRenamed("study", study))
+    return files.join(named, ["file_type", study], "left")
 
 
 def resolve(label: Column, header: Column, specs: Column) -> Column:
@@ -168,6 +176,45 @@ def harmonise(rows: DataFrame, labels: Sequence[str], keep: Sequence[str]) -> Da
     )
 
 
+def harmonise_files(files: DataFrame, labels: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Rows of resolved files (``records``, null for none) as a table with the standard labels.
+
+    Each file is worked out as a whole and then unfolded, so its ``sources`` are not copied to
+    every row, and the place of a label is told once per file.
+    """
+
+    def told(source: Column) -> Column:
+        places = source["places"]
+        return F.struct(
+            source["fixed"].alias("fixed"),
+            (F.get(places, 0) - 1).cast("int").alias("at"),
+            F.when(F.size(places) > 1, places).alias("several"),
+        )
+
+    def value(source: Column, cells: Column) -> Column:
+        tried = F.transform(source["several"], lambda p: F.get(cells, (p - 1).cast("int")))
+        first = F.get(F.filter(tried, lambda v: v.isNotNull()), 0)
+        return F.coalesce(
+            source["fixed"], F.get(cells, source["at"]), F.when(source["several"].isNotNull(), first)
+        )
+
+    def rows(sources: Column) -> Column:
+        return F.transform(
+            "records",
+            lambda r: let(
+                null_tokens_out(r), lambda cells: F.transform(sources, lambda s: value(s, cells))
+            ),
+        )
+
+    # The outer form keeps Spark from testing the array's size ahead of the explode.
+    unfolded = files.select(
+        *keep, F.explode_outer(let(F.transform("sources", told), rows)).alias("_values")
+    ).where(F.col("_values").isNotNull())
+    return unfolded.select(
+        *keep, *[F.get("_values", F.lit(i)).alias(l) for i, l in enumerate(labels)]
+    )
+
+
 def default_if_all_null(
     rows: DataFrame, column: str, fallback: str, by: Sequence[str], few: bool | None = None
 ) -> DataFrame:

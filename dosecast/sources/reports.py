@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dosecast.functions.text import is_blank, let
+from dosecast.functions.text import WHITE_SPACE, is_blank, let
 
 MAX_HEADER_LINES = 10
 
@@ -26,6 +26,7 @@ NULL_TOKENS = (
 _QUOTED = r'"[^"]*+"(?:"[^"]*+")*+'
 _CELL = rf'(?:{_QUOTED}[^,\n]*+|(?!")[^,\n]*+)'
 _RECORD = rf"{_CELL}(?:,{_CELL})*+"
+_NOT_BLANK = f"[^{WHITE_SPACE}]"
 _NEXT_CELL = rf",({_QUOTED}[^,\n]*+|[^,\n]*+)"
 
 
@@ -50,7 +51,10 @@ def _unquote(cell: Column) -> Column:
 def split_record(record: Column) -> Column:
     """Cells of one CSV record as an array of text."""
     cells = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_NEXT_CELL), F.lit(1))
-    return F.transform(cells, _unquote)
+    # Without quotes every comma ends a cell.
+    return F.when(
+        record.contains('"') | record.contains("\n"), F.transform(cells, _unquote)
+    ).otherwise(F.split(record, ","))
 
 
 def null_tokens_out(cells: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:
@@ -82,11 +86,14 @@ def parse_text(raw: Column, max_header_lines: int = MAX_HEADER_LINES) -> Column:
     """
 
     def result(rest: Column) -> Column:
-        found = F.filter(
-            F.regexp_extract_all(rest, F.lit(_RECORD), F.lit(0)), lambda r: ~is_blank(r)
+        quoted = rest.contains('"')
+        # Without quotes every line is a record.
+        records = F.when(quoted, F.regexp_extract_all(rest, F.lit(_RECORD), F.lit(0))).otherwise(
+            F.split(rest, "\n")
         )
+        found = F.filter(records, lambda r: r.rlike(_NOT_BLANK))
         # An unclosed quote leaves a piece of text that no record takes up.
-        unclosed = F.regexp_replace(rest, _RECORD, "").contains('"')
+        unclosed = quoted & F.regexp_replace(rest, _RECORD, "").contains('"')
         return let(F.transform(found, split_record), lambda cells: checked(cells, unclosed))
 
     def checked(cells: Column, unclosed: Column) -> Column:

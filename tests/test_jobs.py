@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from dosecast.plans import jobs
+from dosecast.sources import files as file_ops
+from dosecast.sources import headers, reports
 
 DAY = dt.date(2025, 11, 6)
 
@@ -73,3 +75,52 @@ def test_status_job_classifies_the_loaded_files_once(spark, monkeypatch):
     status_job = entry_points.queries()["status_job"]
     assert status_job(spark, "/root/testdata/sf0.001").count() > 0
     assert len(plans) > 1 and all(p.count("InMemoryRelation") == 1 for p in plans)
+
+
+def test_names_and_sheets_are_worked_out_once(spark, tmp_path):
+    names, cells = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def named(name):
+        names.add(1)
+        return name
+
+    @F.udf("string")
+    def told(study):
+        cells.add(1)
+        return study
+
+    files = spark.createDataFrame(
+        [
+            (f"{s}/{c}", DAY, f"Sponsor AB-CD-1-{s}", f"AB-CD-1-{s}_Subject Summary 2025-11-06-0{c}-00-00.csv", bytearray(f"Subj,Land\n{s},N{c}\n", "utf8"))
+            for s in range(4)
+            for c in range(2)
+        ],
+        "path string, extract_date date, study_name string, file_name string, content binary",
+    )
+    newest = file_ops.latest_by_name(files.drop("content").withColumn("file_name", named("file_name")))
+    assert sorted(r.path for r in newest.collect()) == [f"{s}/1" for s in range(4)]
+    assert names.value == 8
+    rows = [("subject", f"AB-CD-1-{s}", label, spec, i) for s in range(3) for i, (label, spec) in enumerate((("Subject Number", "Subj"), ("Country", "Land")))]
+    sheet = spark.createDataFrame(rows, "file_type string, study string, label string, spec string, row_no long")
+    told_sheet, target = sheet.withColumn("study", told("study")), str(tmp_path)
+    headers.header_map(told_sheet).collect()
+    once = cells.value
+    jobs.curate_snapshots(files, target, {"subject": told_sheet})
+    assert cells.value == 2 * once
+    back = jobs.read_table(spark, target, "clinical_subject_summary")
+    assert sorted((r.study_protocol, r.subject_number, r.country) for r in back.collect()) == [(f"AB-CD-1-{s}", s, "N1") for s in range(3)]
+    rejects = jobs.read_table(spark, target, jobs.REJECTS).select("study_code", "reason").collect()
+    assert [tuple(r) for r in rejects] == [("AB-CD-1-3", "no_header_mapping")]
+
+
+def test_files_unfold_to_the_rows_of_their_records(spark):
+    text = 'a,b,c\n1,NA,"x, ""y"""\n,2\n\n3,4,\n'
+    labels = ["a", "First", "Fixed", "None"]
+    specs = F.create_map(*[F.lit(v) for v in ("First", "b, c", "Fixed", "x=told")])
+    files = spark.createDataFrame([(1, text), (2, text.replace('"', "").replace("x, ", "")), (3, "a,b\n"), (4, "none")], "n int, content string")
+    resolved = headers.resolve_labels(reports.parse_reports(files).withColumn("specs", specs), labels)
+    by_row = headers.harmonise(reports.report_rows(resolved), labels, ["n"]).collect()
+    rows = headers.harmonise_files(resolved, labels, ["n"]).collect()
+    assert sorted(rows, key=str) == sorted(by_row, key=str)
+    assert (1, "1", 'x, "y"', "told", None) in rows and (2, "1", "y", "told", None) in rows and len(rows) == 6
